@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from cladeflow.functions.names import clean_name
 from cladeflow.operators.dense_ids import dense_ids
+from cladeflow.operators.intervals import interval_blocks, point_blocks
 from cladeflow.session import fresh_path, remove, written_at
 
 
@@ -229,17 +230,10 @@ def ancestor_pairs(ranks: DataFrame) -> DataFrame:
     level, a single rank lies in one block a level, and exactly one of the blocks of each ancestor is among
     them. No pair is met that is not a result.
     """
-    level = "explode(sequence(0, cast(floor(log2({0})) as int))) as level"
-    low, high = "cast(ceil(entry / cast(shiftleft(1L, level) as double)) as long)", "shiftright(entry + size, level)"
-    spans = ranks.selectExpr("root_id", "id as ancestor_id", "depth as a_depth", "entry", "size", level.format("size"))
-    spans = spans.selectExpr("root_id", "ancestor_id", "a_depth", "level", f"{low} as lo", f"{high} as hi").where("lo < hi")
-    blocks = spans.selectExpr(
-        "root_id", "ancestor_id", "a_depth", "level",
-        "explode(filter(array(if(lo % 2 = 1, lo, null), if(hi % 2 = 1, hi - 1, null)), b -> b is not null)) as block",
-    )
+    spans = ranks.selectExpr("root_id", "id as ancestor_id", "depth as a_depth", "entry", "size")
+    blocks = interval_blocks(spans, "entry", "size").drop("entry", "size")
     sizes = ranks.where("id = root_id").selectExpr("root_id", "size as n_tree")
-    points = ranks.join(sizes, "root_id").selectExpr("root_id", "id", "depth", "entry", level.format("n_tree"))
-    points = points.selectExpr("root_id", "id", "depth", "level", "shiftright(entry, level) as block")
+    points = point_blocks(ranks.join(sizes, "root_id").select("root_id", "id", "depth", "entry", "n_tree"), "entry", "n_tree")
     return points.join(blocks, ["root_id", "level", "block"]).selectExpr("id", "ancestor_id", "depth - a_depth as hops")
 
 

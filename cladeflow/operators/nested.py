@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 ITEMS = (
     "record_id long, pre long, post long, parent_pre long, depth int, node_path string, "
-    "item_kind string, item_no int, field string, item string"
+    "item_kind string, item_no int, field string, item string, shape string"
 )
 #: Characters of output text that a task gathers before it passes a batch on.
 BATCH_CHARS = 8_000_000
@@ -120,15 +120,20 @@ def _text(value) -> str:
 
 
 def _attributes(node: dict):
-    """(field, value as text) of node_attrs (v2) or attr (v1); an object's `value` stands for the object."""
+    """(field, value as text, shape) of node_attrs (v2) or attr (v1); an object's `value` stands for the object.
+
+    shape is text or other for the `value` of an object, plain for what isn't wrapped so.
+    """
     for key in ("node_attrs", "attr"):
         fields = node.get(key)
         if isinstance(fields, dict):
             for field, value in fields.items():
+                shape = "plain"
                 if isinstance(value, dict) and "value" in value:
                     value = value["value"]
+                    shape = "text" if isinstance(value, str) else "other"
                 if value is not None:
-                    yield field, _text(value)
+                    yield field, _text(value), shape
 
 
 def _mutations(node: dict):
@@ -148,19 +153,19 @@ def walk(root: dict, kinds: set[str]) -> Iterator[tuple]:
     while stack:
         node, parent_pre, depth, path, position, entered = stack.pop()
         if entered is not None:
-            yield entered, clock, parent_pre, depth, path, "node", position, None, node_name(node)
+            yield entered, clock, parent_pre, depth, path, "node", position, None, node_name(node), None
             clock += 1
             continue
         pre = clock
         clock += 1
         stack.append((node, parent_pre, depth, path, position, pre))
         if "attribute" in kinds:
-            for no, (field, value) in enumerate(_attributes(node)):
-                yield clock, clock, pre, depth, path, "attribute", no, field, value
+            for no, (field, value, shape) in enumerate(_attributes(node)):
+                yield clock, clock, pre, depth, path, "attribute", no, field, value, shape
                 clock += 1
         if "mutation" in kinds:
             for gene, no, entry in _mutations(node):
-                yield clock, clock, pre, depth, path, "mutation", no, gene, entry
+                yield clock, clock, pre, depth, path, "mutation", no, gene, entry, None
                 clock += 1
         children = node.get("children")
         if isinstance(children, list):
@@ -188,7 +193,7 @@ def flatten_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in ITEMS.split(", ")]
-        types = [pa.int64()] * 4 + [pa.int32(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string()]
+        types = [pa.int64()] * 4 + [pa.int32(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string()]
 
         def batch_of(rows: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
@@ -223,7 +228,7 @@ def nodes_table(items: DataFrame) -> DataFrame:
 
 def attributes_table(items: DataFrame) -> DataFrame:
     return items.where("item_kind = 'attribute'").select(
-        "record_id", "pre", F.col("parent_pre").alias("node_pre"), "node_path", "field", F.col("item").alias("value")
+        "record_id", "pre", F.col("parent_pre").alias("node_pre"), "node_path", "field", F.col("item").alias("value"), "shape"
     )
 
 

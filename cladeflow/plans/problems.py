@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cladeflow.functions.names import is_tip_name, label
 from cladeflow.operators import compaction, hierarchy, hot_keys, nested
-from cladeflow.session import written
+from cladeflow.plans.reference import MUTATIONS, NODES
 from cladeflow.sources.tables import table
 
 #: Problem 1's share of the rows, and problem 4's kinds and target file size in capacities.
@@ -114,6 +114,9 @@ ORACLE = {
         count(distinct dataset) as n_datasets, count(d) as n_dated, cast(min(d) as varchar) as first_date, cast(max(d) as varchar) as last_date
         from (select *, try_cast(case when regexp_full_match(collection_date, '\\d{{4}}-\\d{{2}}-\\d{{2}}') then collection_date end as date) as d from metadata)
         where clade_membership is not null group by 1""",
+    "p2_found": f"""{NODES}{MUTATIONS} select record_id, node_path, 'node' as item_kind, cast(no as bigint) as item_no,
+        coalesce(n->>'$.name', n->>'$.strain', '') as item from nodes
+        union all select record_id, node_path, 'mutation', item_no, gene || ':' || entry from muts""",
     "p4_found": f"select file_id from ({_LATEST})",
     "p4_files": f"select file_id, dataset, kind, file_name, md5(file_text) as digest, length(file_text) as n_chars from ({_LATEST})",
     "p5_found": _CYCLES,
