@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cladeflow.session import written
+
 #: Items that one task packs, about.
 SHARD_ITEMS = 25_000
 
@@ -82,7 +84,7 @@ def pack(items: DataFrame, containers: DataFrame, shard_items: int = SHARD_ITEMS
     of their own; rows without doc_id are left out. An item is divided only if it exceeds the capacity: into
     full pieces and a rest. Containers whose capacity is null or below 1 hold nothing and give no rows.
     """
-    # the number of items is the one figure taken first; it sets the number of shards
+    items = written(items.select("doc_id", "size"), "items")  # measured once, for the number of shards and for packing
     shards = max(1, -(-items.count() // shard_items))
     bounded = containers.where("capacity >= 1").select("container_name", F.col("capacity").cast("long").alias("capacity"))
     sized = items.where("doc_id is not null").select("doc_id", F.greatest(F.coalesce("size", F.lit(0)), F.lit(0)).cast("long").alias("whole"))
