@@ -80,34 +80,48 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return (hashes.astype(np.uint32)[None, :] * _SEEDS[:, None]).min(axis=1).astype(np.uint64)
 
 
-def band_keys(values: np.ndarray, bands: int, rows: int, salt: int) -> np.ndarray:
-    keys = np.full(bands, salt, np.uint64)
+def band_keys(values: np.ndarray, bands: int, rows: int, salts: np.ndarray) -> np.ndarray:
+    """Bucket keys, one row per signature in values, salted by what must agree besides."""
+    parts = values[:, : bands * rows].reshape(len(values), bands, rows)
+    keys = np.repeat(salts[:, None], bands, axis=1)
     for k in range(rows):
-        keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + values[: bands * rows].reshape(bands, rows)[:, k])
+        keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, k])
     return _mix(keys + np.arange(bands, dtype=np.uint64)).view(np.int64)
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        reps, clean, kinds, keys = [], [], [], []
-        for rep, seq in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            seq = seq.encode()
-            at, hashes = shingles(seq)
-            for length in prefix_lengths(len(seq)):
-                inside = np.searchsorted(at, length - SHINGLE + 1)
-                if not inside:
-                    continue
-                values = signature(hashes[:inside])
-                whole = inside >= (1 - CLEAN) * (length - SHINGLE + 1)
-                for kind, bands, rows in ((0, LONG_BANDS, LONG_ROWS), (1, SHORT_BANDS, SHORT_ROWS)):
-                    keys.append(band_keys(values, bands, rows, length * 2 + kind))
-                    kinds.append(np.full(bands, kind, np.int8))
-                    reps.append(np.full(bands, rep, np.int64))
-                    clean.append(np.full(bands, whole))
-        cat = lambda parts, kind: pa.array(np.concatenate(parts) if parts else np.zeros(0, kind))
-        yield pa.RecordBatch.from_arrays(
-            [cat(reps, np.int64), cat(clean, bool), cat(kinds, np.int8), cat(keys, np.int64)], ["rep", "clean", "kind", "bucket"]
-        )
+        for at in range(0, batch.num_rows, 1024):
+            yield _buckets(batch.slice(at, 1024))
+
+
+def _buckets(batch: pa.RecordBatch) -> pa.RecordBatch:
+    reps, clean, lengths, signatures = [], [], [], []
+    for rep, seq in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        seq = seq.encode()
+        at, hashes = shingles(seq)
+        values, done = None, 0
+        for length in prefix_lengths(len(seq)):
+            inside = int(np.searchsorted(at, length - SHINGLE + 1))
+            if not inside:
+                continue
+            if inside > done:  # the longer prefix adds its own windows to the minima of the shorter
+                more = signature(hashes[done:inside])
+                values, done = more if values is None else np.minimum(values, more), inside
+            reps.append(rep)
+            lengths.append(length)
+            clean.append(inside >= (1 - CLEAN) * (length - SHINGLE + 1))
+            signatures.append(values)
+    n = len(reps)
+    found = np.stack(signatures) if n else np.zeros((0, _HASHES), np.uint64)
+    salts = np.array(lengths, np.uint64) * np.uint64(2)
+    keys, kinds = [], []
+    for kind, bands, rows in ((0, LONG_BANDS, LONG_ROWS), (1, SHORT_BANDS, SHORT_ROWS)):
+        keys.append(band_keys(found, bands, rows, salts + np.uint64(kind)).ravel())
+        kinds.append(np.full(n * bands, kind, np.int8))
+    each = lambda x: np.concatenate([np.repeat(x, LONG_BANDS), np.repeat(x, SHORT_BANDS)])
+    columns = [each(np.array(reps, np.int64)), each(np.array(clean, bool)), np.concatenate(kinds), np.concatenate(keys)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["rep", "clean", "kind", "bucket"])
 
 
 def compare(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
