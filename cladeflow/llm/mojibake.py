@@ -198,22 +198,24 @@ def garbled_words(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     kind: utf8 (UTF-8 read as something else, once or repeatedly), legacy (one older encoding read as
     another), lossy (characters replaced by U+FFFD), control (C1 controls within a word, of unknown origin).
     """
+    # tables of words shrink to a fraction on disk; joins of two of them must not count on their file size
+    grown = lambda df: df.hint("merge")
     texts = documents.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
     links = written(texts.mapInArrow(_extracted, "doc_id long, word string"), "words")
     lexicon = written(links.groupBy("word").agg(F.count_distinct("doc_id").alias("df")), "lexicon")
     schema = "word string, kind string, via string, restored string, pairs array<struct<g:string,c:string>>"
-    readings = written(lexicon.select("word").mapInArrow(_readings, schema).join(lexicon, "word"), "readings")
+    readings = written(lexicon.select("word").mapInArrow(_readings, schema).join(grown(lexicon), "word"), "readings")
 
     bare = lambda c: F.regexp_replace(c, r"[^\x00-\x7f]+", "")
     twins = lexicon.select(bare("word").alias("bare"), F.col("word").alias("restored"), F.col("df").alias("twin_df"))
-    joined = written(readings.withColumn("bare", bare("restored")).join(twins, ["bare", "restored"], "left").drop("bare"), "joined")
+    joined = written(readings.withColumn("bare", bare("restored")).join(grown(twins), ["bare", "restored"], "left").drop("bare"), "joined")
     structural = joined.where("kind in ('utf8', 'lossy')")
     confirmed = structural.where("twin_df is not null and kind = 'utf8'")
     learned = confirmed.groupBy("via").agg(F.count_distinct("word").alias("support")).where(F.col("support") >= SUPPORT).select("via")
     mapped = confirmed.select(F.explode("pairs").alias("p")).select("p.g", "p.c").distinct()
 
     # characters of words that no reading applies to: the corpus's own alphabet
-    plain = lexicon.join(structural.select("word").distinct(), "word", "left_anti")
+    plain = lexicon.join(grown(structural.select("word").distinct()), "word", "left_anti")
     alphabet = plain.select(F.explode(F.array_distinct(F.split(F.regexp_replace("word", r"[\x00-\x7f]+", ""), ""))).alias("c"), "df")
     alphabet = alphabet.groupBy("c").agg(F.sum("df").alias("n")).where("n >= 2").select("c")
 
@@ -254,7 +256,7 @@ def garbled_words(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 def garbled_documents(documents: DataFrame) -> DataFrame:
     """doc_id of each document that holds a garbled word. Null and empty texts hold none; an empty table gives no rows."""
     links, garbled = garbled_words(documents)
-    return links.join(garbled.select("word"), "word", "left_semi").select("doc_id").distinct()
+    return links.join(garbled.select("word").hint("merge"), "word", "left_semi").select("doc_id").distinct()
 
 
 def restored_documents(documents: DataFrame) -> DataFrame:
@@ -264,7 +266,7 @@ def restored_documents(documents: DataFrame) -> DataFrame:
     replaced, the others stay as they are.
     """
     links, garbled = garbled_words(documents)
-    fixes = links.join(garbled, "word").groupBy("doc_id").agg(
+    fixes = links.join(garbled.hint("merge"), "word").groupBy("doc_id").agg(
         F.count("*").alias("n_words"), F.count("restored").alias("n_restored"), F.collect_list(F.struct("word", "restored")).alias("fixes")
     )
     rows = documents.select(F.col("doc_id").cast("long"), "text").join(fixes, "doc_id")
