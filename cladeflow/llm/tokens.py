@@ -117,17 +117,20 @@ def split_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
         return np.zeros(0, np.int32), np.zeros(0, np.int32), []
     length = np.diff(np.append(start, len(points)))
     offset = np.arange(len(points), dtype=np.int64) - np.repeat(start, length)
-    mixed = _mixed(points, offset)
-    first, second = np.add.reduceat(mixed, start), np.add.reduceat(mixed * mixed, start)
+    first = np.add.reduceat(_mixed(points, offset), start)
     real = points[start] != 0x110000
     number, _ = pd.factorize(first[real])
-    start, length, second = start[real], length[real], second[real]
+    start, length = start[real], length[real]
     sample = np.zeros(int(number.max()) + 1 if len(number) else 0, np.int64)
     sample[number[::-1]] = np.arange(len(number))[::-1]
     ends = np.append(np.flatnonzero(points == 0x110000), len(points))[: len(texts)]
     counts = np.diff(np.searchsorted(start, np.append(0, ends))) if len(texts) else np.zeros(0)
-    if not np.array_equal(second, second[sample][number]) or not np.array_equal(length, length[sample][number]):
-        words, table = [], {}  # two words with one hash: number them by their text
+    same = np.array_equal(length, length[sample][number])
+    if same and len(start):  # equal hashes must mean equal words
+        mine = points != 0x110000
+        same = np.array_equal(points[mine], points[np.repeat(start[sample][number], length) + offset[mine]])
+    if not same:
+        words, table = [], {}  # number them by their text instead
         for a, k in zip(start, length):
             word = points[a : a + k].tobytes().decode("utf-32-le")
             words.append(table.setdefault(word, len(table)))
