@@ -105,8 +105,31 @@ _CYCLES = f"""with recursive links as ({_LINKS}),
   reach(dataset, s, n) as (select dataset, p, c from links union
     select r.dataset, r.s, l.c from reach r join links l on l.dataset = r.dataset and l.p = r.n)
   select distinct dataset, s as node from reach where s = n"""
+#: One parent a node off the cycles: one off the cycles before one on them, then the last exported, then the first by name.
+_FOREST = f"""{_CYCLES.rpartition("select distinct")[0].rstrip()},
+  cyc as (select distinct dataset, s as node from reach where s = n),
+  every as (select dataset, p as node from links union select dataset, c from links
+    union select dataset, regexp_replace(child, '^hCoV-19/', '') from branches where dataset is not null and child is not null@MORE@),
+  dated as (select dataset, regexp_replace(parent, '^hCoV-19/', '') as p, regexp_replace(child, '^hCoV-19/', '') as c, max(exported_at) as seen
+    from branches where dataset is not null and parent is not null and child is not null group by 1, 2, 3),
+  best as (select d.dataset, d.c, d.p, k.node is not null as below from dated d left join cyc k on k.dataset = d.dataset and k.node = d.p
+    where not exists (select 1 from cyc x where x.dataset = d.dataset and x.node = d.c)
+    qualify row_number() over (partition by d.dataset, d.c order by k.node is not null, seen desc nulls last, d.p) = 1),
+  nodes as (select e.dataset, e.node, coalesce(b.below, false) as below, case when not b.below then b.p end as up from every e
+    left join best b on b.dataset = e.dataset and b.c = e.node
+    where not exists (select 1 from cyc x where x.dataset = e.dataset and x.node = e.node)),
+  walk(dataset, node, below, path) as (select dataset, node, below, [node] from nodes where up is null
+    union all select n.dataset, n.node, n.below, list_append(w.path, n.node) from walk w join nodes n on n.dataset = w.dataset and n.up = w.node),
+  pairs as (select dataset, node, path[i] as anc, len(path) - i as hops from walk, unnest(range(1, len(path) + 1)) as t(i))"""
+_NAMED = "\n    union select dataset, regexp_replace(name, '^hCoV-19/', '') from metadata where dataset is not null and name is not null"
 
 ORACLE = {
+    "p5_hierarchy": f"""{_FOREST.replace("@MORE@", _NAMED)},
+      sizes as (select dataset, anc as node, count(*) as n from pairs group by 1, 2),
+      ranked as (select w.*, n, row_number() over (partition by w.dataset, path[1] order by path) - 1 as entry from walk w join sizes s using (dataset, node))
+      select dataset, node, case when len(path) > 1 then path[-2] end as parent, path[1] as root, len(path) - 1 as depth, path, n - 1 as n_descendants,
+        entry, entry + n - 1 as exit, below as below_cycle from ranked""",
+    "p5_descendants": f"""{_FOREST.replace("@MORE@", "")} select dataset, anc as node, node as descendant, hops from pairs where hops > 0""",
     "p1_found": f"""select {_LABEL} as clade_membership from metadata where clade_membership is not null
         group by 1 having count(*) >= 0.04 * (select count(*) from metadata)""",
     "p1_clades": f"""select {_LABEL} as clade, count(*) as n_rows,
@@ -117,6 +140,14 @@ ORACLE = {
     "p2_found": f"""{NODES}{MUTATIONS} select record_id, node_path, 'node' as item_kind, cast(no as bigint) as item_no,
         coalesce(n->>'$.name', n->>'$.strain', '') as item from nodes
         union all select record_id, node_path, 'mutation', item_no, gene || ':' || entry from muts""",
+    "p2_nodes": f"""{NODES}, keyed as (select *, list_transform(string_split(node_path, '.'), lambda x: cast(x as bigint)) as k from nodes),
+        up(record_id, node_path, anc) as (select record_id, node_path, node_path from nodes union all
+          select record_id, node_path, regexp_replace(anc, '\\.\\d+$', '') from up where contains(anc, '.')),
+        sizes as (select record_id, anc as node_path, count(*) as size from up group by 1, 2),
+        ranked as (select k.*, size, 2 * (row_number() over (partition by record_id order by k.k) - 1) - depth as pre from keyed k join sizes using (record_id, node_path))
+        select r.record_id, r.pre, r.pre + 2 * r.size - 1 as post, u.pre as parent_pre, r.depth, r.node_path, r.no as sibling_no,
+          coalesce(r.n->>'$.name', r.n->>'$.strain', '') as name
+        from ranked r left join ranked u on u.record_id = r.record_id and r.depth > 0 and u.node_path = regexp_replace(r.node_path, '\\.\\d+$', '')""",
     "p4_found": f"select file_id from ({_LATEST})",
     "p4_files": f"select file_id, dataset, kind, file_name, md5(file_text) as digest, length(file_text) as n_chars from ({_LATEST})",
     "p5_found": _CYCLES,
