@@ -52,6 +52,12 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """df in spark.sql.shuffle.partitions parts by hash, which runtime merging leaves alone: for rows that are
+    small to store and costly to work on."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df as a table into the shared folder and read it back.
 
