@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,3 +113,73 @@ def color_map(auspice: DataFrame) -> DataFrame:
     last = used.groupBy("record_id", F.col("c.key").alias("field")).agg(F.max_by("c", "no").alias("c"))
     scale = last.select("record_id", "field", F.coalesce("c.title", "field").alias("title"), F.posexplode("c.scale").alias("at", "s"))
     return scale.groupBy("record_id", "field", "title", F.col("s")[0].alias("value")).agg(F.max_by(F.col("s")[1], "at").alias("color"))
+
+
+# The coloring that shows a split.
+SPLIT_COLORING = {"key": "train_test", "title": "Train/Test Split", "type": "categorical", "scale": [["train", "#4C78A8"], ["test", "#E45756"]]}
+
+
+def write_deep(document) -> str:
+    """Compact JSON of any depth."""
+    out, stack = [], [document]
+    text = lambda v: json.dumps(v, ensure_ascii=False)
+    while stack:
+        value = stack.pop()
+        if isinstance(value, tuple):  # a finished piece of text
+            out.append(value[0])
+        elif isinstance(value, dict):
+            parts: list = [("{",)]
+            for no, (key, inner) in enumerate(value.items()):
+                parts += [("," * (no > 0) + text(key) + ":",), inner]
+            stack += reversed([*parts, ("}",)])
+        elif isinstance(value, list):
+            parts = [("[",)]
+            for no, inner in enumerate(value):
+                parts += [("," * (no > 0),), inner]
+            stack += reversed([*parts, ("]",)])
+        else:
+            out.append(text(value))
+    return "".join(out)
+
+
+def annotated_documents(auspice: DataFrame, splits: DataFrame) -> DataFrame:
+    """record_id, tree_json with `train_test` on every named node and among the colorings.
+
+    splits: dataset, node (raw names), split; a node without one is train. A coloring that is there already is
+    replaced in its place. Documents that are broken or hold no tree give no rows.
+    """
+    test = splits.where("split = 'test'").groupBy("dataset").agg(F.collect_set("node").alias("test"))
+    rows = auspice.select("record_id", "dataset", "tree_json").join(test, "dataset", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = [], []
+            for record, text, names in zip(*(batch.column(c).to_pylist() for c in ("record_id", "tree_json", "test"))):
+                document = nested.parse_document(text)
+                root = nested.root_of(document)
+                if root is None:
+                    continue
+                held = set(names or ())
+                stack = [root]
+                while stack:
+                    node = stack.pop()
+                    if name := nested.node_name(node):
+                        if not isinstance(node.get("node_attrs"), dict):
+                            node["node_attrs"] = {}
+                        node["node_attrs"]["train_test"] = {"value": "test" if name in held else "train"}
+                    stack += [c for c in node.get("children") or [] if isinstance(c, dict)]
+                if document is not root:
+                    meta = document.setdefault("meta", {}) or {}
+                    document["meta"] = meta
+                    colorings = [c for c in meta.get("colorings") or []]
+                    at = [k for k, c in enumerate(colorings) if isinstance(c, dict) and c.get("key") == "train_test"]
+                    if at:
+                        colorings[at[0]] = colorings[at[0]] | SPLIT_COLORING
+                    else:
+                        colorings.append(SPLIT_COLORING)
+                    meta["colorings"] = colorings
+                ids.append(record)
+                texts.append(write_deep(document))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["record_id", "tree_json"])
+
+    return rows.mapInArrow(run, "record_id long, tree_json string")

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The settings of an analysis, besides its name and address.
+SETTINGS = ["gene", "trim_begin", "trim_end", "seq_length", "test_proportion", "mutations_back", "max_clade_proportion", "seed"]
+
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """path, id, description, seq of the records of FASTA files (one path, a folder or a pattern).
@@ -57,3 +62,39 @@ def list_files(spark: SparkSession, path: str, excluded: tuple[str, ...] = (".DS
 def new_datasets(found: DataFrame, configured: DataFrame) -> DataFrame:
     """Discovered datasets that aren't configured by hand; both have a column dataset."""
     return found.join(configured.select("dataset"), "dataset", "left_anti")
+
+
+def resolve_source(location: str) -> str:
+    """Where a dataset's document is read from: local paths and file:// as they are, s3:// by the s3a connector.
+
+    Documents behind http have to be fetched first; that is refused with a ValueError.
+    """
+    if location.startswith("s3://"):
+        return "s3a://" + location.removeprefix("s3://")
+    if location.startswith("http"):
+        raise ValueError(f"{location} must be fetched before it can be read")
+    return location
+
+
+def discover_subtrees(spark: SparkSession, base: str, families: list[str]) -> DataFrame:
+    """dataset, path of the documents `{base}/{family}/subtrees/{family}_{serial}.json`, in any number."""
+    found = list_files(spark, base).where(F.endswith("path", F.lit(".json")))
+    pattern = r"/([^/]+)/subtrees/\1_([^/]+)\.json$"
+    family, serial = F.regexp_extract("path", pattern, 1), F.regexp_extract("path", pattern, 2)
+    return found.where(family.isin(families)).select(F.concat_ws("_", F.concat(family, F.lit("-xs")), serial).alias("dataset"), "path")
+
+
+def read_analyses(spark: SparkSession, path: str) -> DataFrame:
+    """The settings `{"analysis": {name: {dataset, gene, trim_begin, ...}}}` of a JSON or YAML file as the analyses table."""
+    text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())  # one small file
+    try:
+        loaded = json.loads(text)
+    except ValueError:
+        import yaml
+
+        loaded = yaml.safe_load(text)
+    rows = []
+    for name, given in loaded["analysis"].items():
+        rows.append((name, given.get("dataset"), *(given.get(k) for k in SETTINGS)))
+    types = ["string", "int", "int", "int", "double", "int", "double", "int"]
+    return spark.createDataFrame(rows, "analysis string, dataset_url string, " + ", ".join(f"{k} {t}" for k, t in zip(SETTINGS, types)))
