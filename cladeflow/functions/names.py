@@ -41,7 +41,7 @@ def split_of(c) -> Column:
     return F.when(F.length(low) > 0, low).otherwise(F.lit("train"))
 
 
-def publish_prefix(analysis, prefix: str = "trajectories") -> Column:
+def publish_prefix(analysis, prefix: str = "export") -> Column:
     """Where an analysis is published: numbered subtrees nest below their parent."""
     name = _col(analysis)
     pattern = r"^(.+-xs)_(\d+)$"
