@@ -33,8 +33,17 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/cladeflow-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables that this application wrote into the shared folder, once no result is read any more."""
+    remove(spark, _own_dir(spark))
 
 
 def remove(spark: SparkSession, *paths: str) -> None:
@@ -46,7 +55,7 @@ def remove(spark: SparkSession, *paths: str) -> None:
 
 
 def rename(spark: SparkSession, source: str, target: str) -> None:
-    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop = spark._jsc.hadoopConfiguration()  # a folder's move is one step on the file systems that clusters share
     a, b = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
     if not a.getFileSystem(hadoop).rename(a, b):
         raise OSError(f"could not move {source} to {target}")

@@ -15,6 +15,9 @@ def spark():
     session = build_session("local[4]", 4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    from cladeflow.session import clear
+
+    clear(session)
     session.stop()
 
 
