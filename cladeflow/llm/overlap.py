@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cladeflow.functions.names import clean_name, is_tip_name, split_of
-from cladeflow.session import written
+from cladeflow.session import spread, written
 
 #: Bases of a shingle.
 SHINGLE = 4
@@ -195,7 +195,7 @@ def cross_split_pairs(tips: DataFrame, held_out: str = "test", training: str = "
     classes = members.groupBy("rep").agg(F.any_value("seq").alias("seq"), sides(held_out).alias("in_a"), sides(training).alias("in_b"))
     classes = written(classes, "classes")
     bands = written(
-        classes.select("rep", "seq").mapInArrow(_banded, "rep long, clean boolean, kind byte, bucket long").join(
+        spread(classes.select("rep", "seq"), "rep").mapInArrow(_banded, "rep long, clean boolean, kind byte, bucket long").join(
             classes.select("rep", "in_a", "in_b"), "rep"
         ),
         "bands",
