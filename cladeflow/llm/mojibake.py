@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cladeflow.session import written
+from cladeflow.session import spread, written
 
 # The encodings that hypotheses are made of.
 UTF8_READERS = [
@@ -204,7 +204,7 @@ def garbled_words(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = written(texts.mapInArrow(_extracted, "doc_id long, word string"), "words")
     lexicon = written(links.groupBy("word").agg(F.count_distinct("doc_id").alias("df")), "lexicon")
     schema = "word string, kind string, via string, restored string, pairs array<struct<g:string,c:string>>"
-    readings = written(lexicon.select("word").mapInArrow(_readings, schema).join(grown(lexicon), "word"), "readings")
+    readings = written(spread(lexicon.select("word"), "word").mapInArrow(_readings, schema).join(grown(lexicon), "word"), "readings")
 
     bare = lambda c: F.regexp_replace(c, r"[^\x00-\x7f]+", "")
     twins = lexicon.select(bare("word").alias("bare"), F.col("word").alias("restored"), F.col("df").alias("twin_df"))
