@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cladeflow.session import fresh_path, remove, rename
@@ -32,9 +32,13 @@ def current_files(df: DataFrame, kinds: list[str]) -> DataFrame:
 
 def multiset_checksum(df: DataFrame) -> tuple:
     """Row count and two sums over row hashes: equal multisets agree in any order and partitioning."""
+    return tuple(df.agg(*_sums(df)).first())
+
+
+def _sums(df: DataFrame) -> list:
     values = F.struct(*[F.col(c) for c in sorted(df.columns)])
     number = lambda seed: F.xxhash64(values, F.lit(seed)).cast("decimal(38,0)")
-    return tuple(df.agg(F.count("*"), F.sum(number(1)), F.sum(number(2))).first())
+    return [F.count("*").alias("n"), F.sum(number(1)).alias("first"), F.sum(number(2)).alias("second")]
 
 
 def compact(df: DataFrame, target_bytes: int, name: str = "compacted") -> tuple[DataFrame, DataFrame]:
@@ -44,14 +48,16 @@ def compact(df: DataFrame, target_bytes: int, name: str = "compacted") -> tuple[
     The advisory size holds for shuffled bytes; if the files' mean size misses the target, the advisory
     size is scaled by that ratio and written once more. The result is moved to its final place only
     if its multiset checksum equals the input's; else the staged files are removed and an error is raised.
+    The input's checksum is taken on the way, as the rows go into the shuffle; a task that ran twice counts
+    twice there, so a difference is settled by a pass of its own.
     An empty df gives no rows. Null and very long texts are kept as they are.
     """
     spark = df.sparkSession
-    expected = multiset_checksum(df)
+    seen = Observation()
     setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     floor = "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor"
     before, before_floor = spark.conf.get(setting), spark.conf.get(floor)
-    size, source, staged = target_bytes, df, None
+    size, source, staged = target_bytes, df.observe(seen, *_sums(df)), None
     try:
         spark.conf.set(floor, "0.5")
         for attempt in range(2):
@@ -71,7 +77,10 @@ def compact(df: DataFrame, target_bytes: int, name: str = "compacted") -> tuple[
         spark.conf.set(setting, before)
         spark.conf.set(floor, before_floor)
     found = multiset_checksum(spark.read.schema(df.schema).parquet(staged))
-    if tuple(found) != tuple(expected):
+    expected = tuple(seen.get[c] for c in ("n", "first", "second"))
+    if found != expected:
+        expected = multiset_checksum(df)
+    if found != expected:
         remove(spark, staged)
         raise RuntimeError(f"compaction lost or repeated rows: {expected} became {found}")
     final = fresh_path(spark, name)
