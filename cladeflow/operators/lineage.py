@@ -39,35 +39,31 @@ def tips_of(links: DataFrame) -> DataFrame:
     return links.join(parents, ["dataset", "child"], "left_anti").select("dataset", F.col("child").alias("tip"), F.coalesce("split", F.lit("train")).alias("split"))
 
 
-def closure(links: DataFrame) -> DataFrame:
+def closure(links: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     """dataset, node, anc, hops: every node with itself (hops 0) and each ancestor, by pointer doubling.
 
-    Nodes on a cycle or below one reach no root and are left out. The number of rounds is the logarithm
-    of the depth. A round in which no node runs out of ancestors ends the loop: then only cycles are left,
+    starts (dataset, node) limits the nodes to walk up from. Nodes on a cycle or below one reach no root and
+    are left out. The number of rounds is the logarithm of the depth; a round writes the pairs that are
+    new in it. A round in which no node runs out of ancestors ends the loop: then only cycles are left,
     as a path to a root would hold a node of every smaller depth.
     """
     spark = links.sparkSession
-    root, held, n = fresh_path(spark, "closure"), {}, 0
-
-    def put(slot: str, df: DataFrame) -> DataFrame:
-        nonlocal n
-        n += 1
-        path = f"{root}/{slot}-{n}"
-        result = written_at(df, path)
-        if slot in held:
-            remove(spark, held[slot])
-        held[slot] = path
-        return result
-
-    jump = put("jump", links.select("dataset", F.col("child").alias("node"), F.col("parent").alias("up")))
-    nodes = jump.select("dataset", "node").union(jump.select("dataset", "up")).distinct()
-    pairs = put("pairs", nodes.select("dataset", "node", F.col("node").alias("anc"), F.lit(0).cast("long").alias("hops")))
+    root, rounds, held = fresh_path(spark, "closure"), 0, None
+    jump = written_at(links.select("dataset", F.col("child").alias("node"), F.col("parent").alias("up")), f"{root}/jump-0")
+    nodes = jump.select("dataset", "node").union(jump.select("dataset", "up")).distinct() if starts is None else starts.select("dataset", "node").distinct()
+    pairs = written_at(nodes.select("dataset", "node", F.col("node").alias("anc"), F.lit(0).cast("long").alias("hops")), f"{root}/pairs-0")
     left, step = jump.count(), 1
     while left:
-        above = pairs.select("dataset", F.col("node").alias("up"), "anc", (F.col("hops") + step).alias("hops"))
-        pairs = put("pairs", pairs.unionByName(jump.join(above, ["dataset", "up"]).select("dataset", "node", "anc", "hops")))
-        further = jump.select("dataset", F.col("node").alias("up"), F.col("up").alias("top"))
-        jump = put("jump", jump.join(further, ["dataset", "up"]).select("dataset", "node", F.col("top").alias("up")))
+        rounds += 1
+        further = jump.select("dataset", F.col("node").alias("anc"), F.col("up").alias("top"))
+        new = pairs.join(further, ["dataset", "anc"]).select("dataset", "node", F.col("top").alias("anc"), (F.col("hops") + step).alias("hops"))
+        written_at(new.select(*pairs.columns), f"{root}/pairs-{rounds}")
+        pairs = spark.read.schema(pairs.schema).parquet(*[f"{root}/pairs-{k}" for k in range(rounds + 1)])  # one scan for all
+        top = jump.select("dataset", F.col("node").alias("up"), F.col("up").alias("top"))
+        jump = written_at(jump.join(top, ["dataset", "up"]).select("dataset", "node", F.col("top").alias("up")), f"{root}/jump-{rounds}")
+        if held:
+            remove(spark, held)
+        held = f"{root}/jump-{rounds - 1}"
         before, left = left, jump.count()
         if left == before:
             return pairs.join(jump.select("dataset", "node"), ["dataset", "node"], "left_anti")

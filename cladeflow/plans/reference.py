@@ -36,6 +36,9 @@ class Tree:
     def closure(self) -> DataFrame:
         return lineage.closure(self.links)
 
+    def tip_closure(self) -> DataFrame:
+        return lineage.closure(self.links, self.tips.withColumnRenamed("tip", "node"))
+
 
 def edges(spark: SparkSession, data_dir: str) -> DataFrame:
     return lineage.tree_links(table(spark, data_dir, "branches"))
@@ -94,7 +97,7 @@ def branches_tsv(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def walk_back(spark: SparkSession, data_dir: str) -> DataFrame:
     tree = Tree(spark, data_dir)
-    return lineage.walk_back(tree.closure(), tree.links, tree.tips, tree.table("analyses"))
+    return lineage.walk_back(tree.tip_closure(), tree.links, tree.tips, tree.table("analyses"))
 
 
 def monophyletic_split(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -113,12 +116,12 @@ def clade_roots(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def clade_membership(spark: SparkSession, data_dir: str) -> DataFrame:
     tree = Tree(spark, data_dir)
-    return lineage.clade_membership(tree.closure(), tree.links, tree.tips)
+    return lineage.clade_membership(tree.tip_closure(), tree.links, tree.tips)
 
 
 def forward_frames(spark: SparkSession, data_dir: str) -> DataFrame:
     tree = Tree(spark, data_dir)
-    return lineage.forward_frames(tree.closure(), tree.links, tree.tips, tree.table("alignment"))
+    return lineage.forward_frames(tree.tip_closure(), tree.links, tree.tips, tree.table("alignment"))
 
 
 def fasta_render(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -147,7 +150,7 @@ def pairs_sampled(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def _clade_pairs(spark: SparkSession, data_dir: str, limit: int) -> DataFrame:
     tree = Tree(spark, data_dir)
-    members = written(lineage.clade_membership(tree.closure(), tree.links, tree.tips), "members")
+    members = written(lineage.clade_membership(tree.tip_closure(), tree.links, tree.tips), "members")
     return pairs.with_sequences(pairs.pairs_within_clades(members, limit, SEED), tree.table("alignment"))
 
 
@@ -180,10 +183,10 @@ def metadata_rows(spark: SparkSession, data_dir: str) -> DataFrame:
 def summary(spark: SparkSession, data_dir: str) -> DataFrame:
     """One row a dataset: paths, branches, sequences, test clades and test pairs."""
     tree = Tree(spark, data_dir)
-    closed = written(tree.closure(), "closure")
+    closed = tree.tip_closure()
     frames = written(lineage.forward_frames(closed, tree.links, tree.tips, tree.table("alignment")), "frames")
     # a tip's last frame may be missing, its distance isn't
-    everyone = closed.where("hops = 0").select("dataset", F.col("node").alias("name"), F.lit("N").alias("seq"), F.lit(0).cast("long").alias("seq_id"))
+    everyone = tree.tips.select("dataset", F.col("tip").alias("name"), F.lit("N").alias("seq"), F.lit(0).cast("long").alias("seq_id"))
     last = lineage.forward_frames(closed, tree.links, tree.tips, everyone).where("tip = node").select("dataset", "tip", F.col("cum_dist").alias("distance"))
     stats = summaries.path_stats(frames, tree.tips, last)
     seqs = lineage.node_sequences(tree.table("alignment")).where("seq <> ''").groupBy("dataset").agg(
