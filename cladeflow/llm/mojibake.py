@@ -7,7 +7,9 @@ Unit is the word with characters outside ASCII, as garbling may hit a line, a na
 2. Words and readings are joined on the text stripped of non-ASCII characters; where the aligned runs in between
    agree as well, the reading has a clean near-twin in the corpus. A hypothesis that twins confirm
    is learned, with the character sequences that the alignment maps to one another.
-3. Learned hypotheses and sequences apply to the words without a twin.
+3. Learned hypotheses and sequences apply to the words without a twin; words of legacy encodings need a twin.
+
+Characters of two bytes may hold ASCII punctuation when read as single ones. Such stretches are units beside the words.
 
 Only distinct words are compared, by equality joins: no pairs within a group are built.
 """
@@ -17,6 +19,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +33,7 @@ UTF8_READERS = [
     "iso8859-7", "iso8859-9", "iso8859-15", "koi8-r", "koi8-u", "cp437", "cp850", "cp852", "cp866", "gbk", "big5", "cp932", "cp949",
 ]
 WIDE = {"gbk", "big5", "cp932", "cp949"}
+PAIRED_WRITERS = ["cp932", "gbk", "big5", "cp949", "euc-jp"]
 LEGACY_WRITERS = [
     "cp1252", "cp1250", "iso8859-2", "cp1251", "koi8-r", "cp866", "iso8859-5", "cp1253", "iso8859-7", "cp1254", "cp1255", "cp1256",
     "cp1257", "mac-roman", "mac-cyrillic", "cp437", "cp850", "cp852", "cp932", "gbk", "big5", "cp949", "euc-jp",
@@ -40,8 +44,10 @@ LEGACY_READERS = ["cp1252", "mac-roman", "cp1250", "iso8859-2", "cp1251", "koi8-
 REPEATS = 4
 #: Distinct words that must confirm a hypothesis before it applies to words without a twin.
 SUPPORT = 2
-#: Letters of a legacy word that its twin must have.
+#: Letters of a legacy word that its twin must have, where its hypothesis and the frequencies decide.
 LEGACY_LETTERS = 3
+#: Characters outside ASCII (of the word or its reading) from which a twin counts by itself: chance meets no such word.
+LONG = 4
 
 _WORD = re.compile(r"[^\x00-\x7f]+(?:[A-Za-z]*[^\x00-\x7f]+)*[A-Za-z]*")
 _RUN = re.compile(r"[^\x00-\x7f]+")
@@ -50,6 +56,9 @@ _SEQUENCE = re.compile(
     rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}"
 )
 _LOST = "�"
+_STRETCH = re.compile(r"[^\x00-\x7f][^\x00-\x3f\x7f]*")
+_TRAIL = r"[@\[-`{-~]"
+_HAS_TRAIL = re.compile(_TRAIL)
 
 
 def words_of(text: str) -> set[str]:
@@ -65,6 +74,28 @@ def words_of(text: str) -> set[str]:
     return found
 
 
+def _stretches(text: str) -> Iterator[tuple[int, int]]:
+    """Where characters of two bytes may have been read as single ones: their second byte is in ASCII from @ to ~.
+
+    Only stretches with punctuation of that range, as others are words; ASCII letters in front are included.
+    """
+    last = 0
+    for m in _STRETCH.finditer(text):
+        start = m.start()
+        while start > last and (text[start - 1].isascii() and text[start - 1].isalpha()):
+            start -= 1
+        last = m.end()
+        if _HAS_TRAIL.search(m[0]) and len(_RUN.findall(m[0])) > 1:
+            yield start, last
+
+
+def stretches_of(text: str) -> set[str]:
+    """The distinct stretches that read as text in an encoding of two bytes a character."""
+    if text.isascii():
+        return set()
+    return {s for s in {text[a:b] for a, b in _stretches(text)} if next(stretch_readings(s), None)}
+
+
 def _bytes(run: str, reader: str) -> bytes | None:
     """The bytes that the reader saw; bytes that it knows no character for stand as controls."""
     try:
@@ -130,11 +161,52 @@ def _script(ch: str) -> str:
     return name.split(" ")[0] if name else ""
 
 
-_KANA_HAN = {"CJK", "HIRAGANA", "KATAKANA", "KATAKANA-HIRAGANA"}
+_KANA_HAN = {"CJK", "HIRAGANA", "KATAKANA", "KATAKANA-HIRAGANA", "IDEOGRAPHIC", "FULLWIDTH", "HALFWIDTH"}
+_EDGES = {"Pi", "Pf", "Ps", "Pe"}
+
+
+@lru_cache(1 << 16)
+def _traits(ch: str) -> tuple[str, str, bool]:
+    """(category, script of a letter, whether the character is odd wherever it stands)."""
+    category = unicodedata.category(ch)
+    if category[0] not in "LM":
+        plain = ch.isascii() or 0x2010 <= ord(ch) <= 0x205E or 0x3000 <= ord(ch) <= 0x303F or 0xFF00 <= ord(ch) <= 0xFF65
+        return category, "", not plain
+    script = _script(ch)
+    odd = script == "HALFWIDTH"
+    if script == "CJK":  # ideographs beyond the first level of the common sets
+        odd = True
+        for encoding, low, high in (("gb2312", 0xB0, 0xD7), ("euc-jp", 0xB0, 0xCF), ("big5", 0xA4, 0xC6)):
+            try:
+                odd = odd and not low <= ch.encode(encoding)[0] <= high
+            except UnicodeEncodeError:
+                continue
+    return category, "HAN" if script in _KANA_HAN else script, odd
+
+
+def oddness(word: str) -> int:
+    """How improbable the word is as text: symbols and controls in it, capitals after small letters, scripts that
+    change from letter to letter, and more than two Latin letters outside ASCII in a row."""
+    odd, before, row = 0, None, 0
+    for no, ch in enumerate(word):
+        category, script, strange = _traits(ch)
+        if strange and not (category in _EDGES and no in (0, len(word) - 1)):
+            odd += 2 if category == "Cc" else 1
+        if script and before and not (ch.isascii() and before[0].isascii()):
+            odd += before[0].islower() and ch.isupper()
+            odd += script != before[1] and not (category[0] == "M" or {script, before[1]} == {"HAN", "LATIN"})
+        row = row + 1 if script == "LATIN" and not ch.isascii() else 0
+        odd += row > 2
+        before = (ch, script) if script else None
+    return odd
 
 
 def legacy_readings(word: str) -> Iterator[tuple[str, str]]:
-    """(hypothesis, restored word) of the readings whose letters are of one script."""
+    """(hypothesis, restored word) of the readings whose letters outside ASCII are of one script.
+
+    Punctuation, digits and spaces may stand among them. ASCII stays in place, but where two bytes make a
+    character and the second one may be an ASCII letter.
+    """
     core = _RUN.sub("", word)
     for reader in LEGACY_READERS:
         raw = _bytes(word, reader)
@@ -147,17 +219,39 @@ def legacy_readings(word: str) -> Iterator[tuple[str, str]]:
                 restored = raw.decode(writer)
             except UnicodeDecodeError:
                 continue
-            if restored == word or not restored.isalpha() or _RUN.sub("", restored) != core:
+            if restored == word or (_RUN.sub("", restored) != core and (writer not in PAIRED_WRITERS or reader in WIDE)):
                 continue
-            scripts = {_script(c) for c in restored}
-            if len(scripts) == 1 or scripts <= _KANA_HAN:
+            traits = [_traits(c) for c in restored if not c.isascii()]
+            scripts = {script for _, script, _ in traits if script}
+            if len(scripts) == 1 and all(category[0] != "C" for category, _, _ in traits):
                 yield f"{writer}>{reader}", restored
 
 
+def stretch_readings(stretch: str) -> Iterator[tuple[str, str, str]]:
+    """(hypothesis, restored stretch, its longest word) in the encodings of two bytes a character."""
+    for reader in LEGACY_READERS:
+        raw = None if reader in WIDE else _bytes(stretch, reader)
+        for writer in PAIRED_WRITERS if raw else []:
+            try:
+                restored = raw.decode(writer)
+            except UnicodeDecodeError:
+                continue
+            if words := words_of(restored):
+                yield f"{writer}>{reader}", restored, max(words, key=lambda w: (len(w), w))
+
+
+def _weight(word: str, restored: str) -> tuple[int, int]:
+    """(characters that bear witness, how much less odd the reading is than the word)."""
+    return max(sum(not c.isascii() for c in t) for t in (word, restored)), oddness(word) - oddness(restored)
+
+
 def _readings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for word in batch.column(0).to_pylist():
+            if _HAS_TRAIL.search(word):
+                rows += [(word, "legacy", via, restored, [], twin, *_weight(word, restored)) for via, restored, twin in stretch_readings(word)]
+                continue
             front, seen = [(word, "", [])], {word}
             for _ in range(REPEATS):
                 behind = []
@@ -168,16 +262,17 @@ def _readings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             continue
                         restored, pairs, whole = found
                         via = f"{chain}|{reader}" if chain else f"utf-8>{reader}"
-                        rows.append((word, "utf8" if whole else "lossy", via, restored, [{"g": g, "c": c} for g, c in pairs]))
+                        rows.append((word, "utf8" if whole else "lossy", via, restored, [{"g": g, "c": c} for g, c in pairs], restored, 0, 0))
                         if restored not in seen:
                             seen.add(restored)
                             behind.append((restored, via, pairs))
                 front = behind
             if len(seen) == 1 and _LOST not in word:
-                rows += [(word, "legacy", via, restored, []) for via, restored in legacy_readings(word)]
+                rows += [(word, "legacy", via, restored, [], restored, *_weight(word, restored)) for via, restored in legacy_readings(word)]
         if rows:
-            types = [pa.string()] * 4 + [pa.list_(pa.struct([("g", pa.string()), ("c", pa.string())]))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["word", "kind", "via", "restored", "pairs"])
+            types = [pa.string()] * 4 + [pa.list_(pa.struct([("g", pa.string()), ("c", pa.string())])), pa.string(), pa.int32(), pa.int32()]
+            names = ["word", "kind", "via", "restored", "pairs", "twin", "changed", "gain"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +281,7 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py()
             if text:
-                found = sorted(words_of(text))
+                found = sorted(words_of(text) | stretches_of(text))
                 keys += [key] * len(found)
                 words += found
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(words, pa.string())], ["doc_id", "word"])
@@ -202,13 +297,14 @@ def garbled_words(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     grown = lambda df: df.hint("merge")
     texts = documents.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
     links = written(texts.mapInArrow(_extracted, "doc_id long, word string"), "words")
-    lexicon = written(links.groupBy("word").agg(F.count_distinct("doc_id").alias("df")), "lexicon")
-    schema = "word string, kind string, via string, restored string, pairs array<struct<g:string,c:string>>"
-    readings = written(spread(lexicon.select("word"), "word").mapInArrow(_readings, schema).join(grown(lexicon), "word"), "readings")
+    units = written(links.groupBy("word").agg(F.count_distinct("doc_id").alias("df")), "lexicon")
+    schema = "word string, kind string, via string, restored string, pairs array<struct<g:string,c:string>>, twin string, changed int, gain int"
+    readings = written(spread(units.select("word"), "word").mapInArrow(_readings, schema).join(grown(units), "word"), "readings")
+    lexicon = units.where(~F.regexp_like("word", F.lit(_TRAIL)))
 
     bare = lambda c: F.regexp_replace(c, r"[^\x00-\x7f]+", "")
-    twins = lexicon.select(bare("word").alias("bare"), F.col("word").alias("restored"), F.col("df").alias("twin_df"))
-    joined = written(readings.withColumn("bare", bare("restored")).join(grown(twins), ["bare", "restored"], "left").drop("bare"), "joined")
+    twins = lexicon.select(bare("word").alias("bare"), F.col("word").alias("twin"), F.col("df").alias("twin_df"))
+    joined = written(readings.withColumn("bare", bare("twin")).join(grown(twins), ["bare", "twin"], "left").drop("bare", "twin"), "joined")
     structural = joined.where("kind in ('utf8', 'lossy')")
     confirmed = structural.where("twin_df is not null and kind = 'utf8'")
     learned = confirmed.groupBy("via").agg(F.count_distinct("word").alias("support")).where(F.col("support") >= SUPPORT).select("via")
@@ -232,9 +328,22 @@ def garbled_words(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     utf8 = confirmed.select("word", "kind", "via", "restored", F.lit(1).alias("twin")).unionByName(
         known.select("word", "kind", "via", "restored", F.lit(0).alias("twin"))
     )
-    legacy = joined.where("kind = 'legacy' and twin_df > df").where(F.length("restored") >= LEGACY_LETTERS)
-    proven = legacy.groupBy("via").agg(F.count_distinct("word").alias("support")).where(F.col("support") >= SUPPORT).select("via")
-    legacy = legacy.join(proven, "via", "left_semi").select("word", "kind", "via", "restored", F.lit(1).alias("twin"))
+    # a long twin counts by itself where the word is odder than its reading, or as odd and rarer; other readings need the
+    # frequencies and other words that confirm the hypothesis, in the corpus or in all documents of the word
+    twinned = joined.where("kind = 'legacy' and twin_df is not null").select("word", "via", "restored", "df", "twin_df", "changed", "gain")
+    rarer = F.col("twin_df") > F.col("df")
+    usual = twinned.where(rarer & (F.length("restored") >= LEGACY_LETTERS))
+    support = usual.groupBy("via").agg(F.count_distinct("word").alias("support")).where(F.col("support") >= SUPPORT)
+    by_hypothesis = F.col("support").isNotNull() & rarer & (F.length("restored") >= LEGACY_LETTERS)
+    by_itself = (F.col("changed") >= LONG) & ((F.col("gain") > 0) | ((F.col("gain") == 0) & rarer))
+    judged = written(twinned.join(support, "via", "left").withColumn("ok", by_hypothesis | by_itself), "judged")
+    proven = judged.where("ok").select("word", "via", "restored", "twin_df")
+    places = links.join(grown(proven.select("word", "via")), "word").select("doc_id", "via").distinct()
+    other = judged.where("gain >= 0").join(grown(proven.select("word").distinct()), "word", "left_anti")
+    other = other.join(grown(proven.select("via").distinct()), "via", "left_semi").select("word", "via", "restored", "df", "twin_df")
+    other = other.join(grown(links), "word").join(grown(places), ["doc_id", "via"], "left_semi")
+    other = other.groupBy("word", "via", "restored", "df", "twin_df").agg(F.count("*").alias("n")).where("n = df").select(proven.columns)
+    legacy = proven.unionByName(other).select("word", F.lit("legacy").alias("kind"), "via", "restored", F.lit(1).alias("twin"), "twin_df")
 
     lost = lexicon.where(F.regexp_like("word", F.lit(r"[\p{L}]�|�[\p{L}]")))
     shape = lambda c: F.regexp_replace(c, r"[^\x00-\x7f]", _LOST)
@@ -245,9 +354,9 @@ def garbled_words(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     control = lexicon.where(F.regexp_like("word", F.lit(r"[\x{80}-\x{84}\x{86}-\x{9f}]")) & (F.length("word") > 1))
     control = control.select("word", F.lit("control").alias("kind"), F.lit("unknown").alias("via"), F.lit(None).cast("string").alias("restored"), F.lit(0).alias("twin"))
 
-    every = utf8.unionByName(legacy).unionByName(lost).unionByName(control)
+    every = utf8.unionByName(legacy, True).unionByName(lost, True).unionByName(control, True)
     order = F.struct(
-        F.col("restored").isNotNull(), "twin", F.when(F.col("kind") == "utf8", 2).when(F.col("kind") == "legacy", 1).otherwise(0), -F.length("restored"), "via"
+        F.col("restored").isNotNull(), "twin", F.when(F.col("kind") == "utf8", 2).when(F.col("kind") == "legacy", 1).otherwise(0), F.coalesce("twin_df", F.lit(0)), -F.length("restored"), "via"
     )
     best = every.groupBy("word").agg(F.max_by(F.struct("kind", "via", "restored"), order).alias("b")).select("word", "b.*")
     return links, written(best, "garbled")
@@ -266,26 +375,39 @@ def restored_documents(documents: DataFrame) -> DataFrame:
     replaced, the others stay as they are.
     """
     links, garbled = garbled_words(documents)
-    fixes = links.join(garbled.hint("merge"), "word").groupBy("doc_id").agg(
-        F.count("*").alias("n_words"), F.count("restored").alias("n_restored"), F.collect_list(F.struct("word", "restored")).alias("fixes")
-    )
+    fixes = links.join(garbled.hint("merge"), "word").groupBy("doc_id").agg(F.collect_list(F.struct("word", "restored")).alias("fixes"))
     rows = documents.select(F.col("doc_id").cast("long"), "text").join(fixes, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text, fixed in zip(batch.column("text").to_pylist(), batch.column("fixes").to_pylist()):
-                table = {f["word"]: f["restored"] for f in fixed if f["restored"] is not None}
-                parts, last = [], 0
-                for m in _WORD.finditer(text):
-                    start = m.start()
-                    while start > last and (text[start - 1].isascii() and text[start - 1].isalpha()):
-                        start -= 1
-                    parts += [text[last:start], table.get(text[start : m.end()], text[start : m.end()])]
-                    last = m.end()
-                out.append("".join([*parts, text[last:]]))
+                table, met, parts, last = {f["word"]: f["restored"] for f in fixed}, set(), [], 0
+
+                def words(a: int, b: int) -> None:
+                    last = a
+                    for m in _WORD.finditer(text, a, b):
+                        start = m.start()
+                        while start > last and (text[start - 1].isascii() and text[start - 1].isalpha()):
+                            start -= 1
+                        word = text[start : m.end()]
+                        if word in table:
+                            met.add(word)
+                        parts.extend([text[last:start], table.get(word) or word])
+                        last = m.end()
+                    parts.append(text[last:b])
+
+                for a, b in _stretches(text):
+                    if table.get(text[a:b]):  # its words are parts of it
+                        words(last, a)
+                        met.add(text[a:b])
+                        parts.append(table[text[a:b]])
+                        last = b
+                words(last, len(text))
+                out.append((len(met), sum(table[w] is not None for w in met), "".join(parts)))
+            n_words, n_restored, texts = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_words"), batch.column("n_restored"), pa.array(out, pa.string())], ["doc_id", "n_words", "n_restored", "text"]
+                [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_restored, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "n_words", "n_restored", "text"]
             )
 
     return rows.mapInArrow(run, "doc_id long, n_words long, n_restored long, text string")

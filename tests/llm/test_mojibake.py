@@ -67,3 +67,33 @@ def test_readings():
 def test_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert mojibake.garbled_documents(empty).count() == 0 and mojibake.restored_documents(empty).count() == 0
+
+
+LONE = [
+    ("删除错误提示，仅限夜间任务", "gbk", "cp1252"), ("エラーメッセージの削除、再起動後", "cp932", "cp1252"), ("木構造の巡回を高速化", "cp932", "latin-1"), ("空文字列の判定（夜間）", "euc-jp", "cp1252"),
+    ("캐시", "cp949", "cp1252"), ("l’été’fûtôt", "cp1252", "mac-roman"),
+]
+
+
+def test_legacy_twins_alone(spark):
+    """One word of a hypothesis, in more documents than its clean form."""
+    rows = [(i, f"+ {w} x", None) for i, (w, _, _) in enumerate(LONE)]
+    rows += [(10 * (i + 1) + k, f"+ ({garble(w, a, b)})", f"+ ({w})") for i, (w, a, b) in enumerate(LONE) for k in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, truth string")
+    assert {r.doc_id for r in mojibake.garbled_documents(df).collect()} == {r[0] for r in rows if r[2]}
+    got = {r.doc_id: (r.text, r.n_words, r.n_restored) for r in mojibake.restored_documents(df).collect()}
+    assert got == {r[0]: (r[2], 1, 1) for r in rows if r[2]}
+
+
+def test_legacy_short(spark):
+    """Short readings need longer words of the hypothesis in their documents."""
+    rows = [(i, "добавляет настройку по умолчанию", None) for i in range(3)] + [(10, garble("настройку по умолчанию", "cp866", "cp1252"), None)]
+    rows += [(20, "garden að", None), (21, "ağ", None), (22, "ağ", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, truth string")
+    assert {r.doc_id: r.text for r in mojibake.restored_documents(df).collect()} == {10: "настройку по умолчанию"}
+
+
+def test_oddness():
+    for clean, writer, reader in LONE:
+        assert mojibake.oddness(garble(clean, writer, reader)) > mojibake.oddness(clean)
+    assert mojibake.oddness("přidává") == mojibake.oddness("pøidává") == mojibake.oddness("«été»") == mojibake.oddness("修正API缓存，好") == 0
