@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cladeflow.functions.names import NAME_PREFIX, clean_name
 from cladeflow.functions.sequences import mutation_base, mutation_position, substituted
 from cladeflow.operators import nested
 from cladeflow.operators.lineage import analysis_of, closure
@@ -145,10 +146,10 @@ def write_deep(document) -> str:
 def annotated_documents(auspice: DataFrame, splits: DataFrame) -> DataFrame:
     """record_id, tree_json with `train_test` on every named node and among the colorings.
 
-    splits: dataset, node (raw names), split; a node without one is train. A coloring that is there already is
+    splits: dataset, node, split; a node without one is train. Names are compared without prefix. A coloring that is there already is
     replaced in its place. Documents that are broken or hold no tree give no rows.
     """
-    test = splits.where("split = 'test'").groupBy("dataset").agg(F.collect_set("node").alias("test"))
+    test = splits.where("split = 'test'").groupBy("dataset").agg(F.collect_set(clean_name("node")).alias("test"))
     rows = auspice.select("record_id", "dataset", "tree_json").join(test, "dataset", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +167,7 @@ def annotated_documents(auspice: DataFrame, splits: DataFrame) -> DataFrame:
                     if name := nested.node_name(node):
                         if not isinstance(node.get("node_attrs"), dict):
                             node["node_attrs"] = {}
-                        node["node_attrs"]["train_test"] = {"value": "test" if name in held else "train"}
+                        node["node_attrs"]["train_test"] = {"value": "test" if name.removeprefix(NAME_PREFIX) in held else "train"}
                     stack += [c for c in node.get("children") or [] if isinstance(c, dict)]
                 if document is not root:
                     meta = document.setdefault("meta", {}) or {}

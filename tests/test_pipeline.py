@@ -38,6 +38,19 @@ def test_from_documents(spark):
     assert {r.record_id: json.loads(r.tree_json) for r in twice.collect()} == again
 
 
+def test_prefixed_names_labelled(spark):
+    text = json.dumps(tree_document()).replace('"name": "E"', '"name": "hCoV-19/E"').replace('"name": "G"', '"name": "hCoV-19/G"')
+    auspice = spark.createDataFrame([(1, "t", "t_0001", "v2", DAY, text)], SCHEMA)
+    side = spark.createDataFrame([], "dataset string, gene string, seq string")
+    made = pipeline.provision(auspice, side, settings(spark, test_proportion=0.34), "monophyletic")
+    for splits in (made.splits, made.splits.withColumn("node", F.concat(F.lit("hCoV-19/"), "node"))):
+        labelled = documents.annotated_documents(auspice, splits)
+        rows = nested.attributes_table(nested.flatten_documents(labelled)).where("field = 'train_test'").select("node_path", "value")
+        nodes = nested.nodes_table(nested.flatten_documents(labelled, ("node",)))
+        got = {r.name: r.value for r in nodes.join(rows, "node_path").collect()}
+        assert {n for n, v in got.items() if v == "test"} == {"d", "hCoV-19/E", "F"} and got["hCoV-19/G"] == "train"
+
+
 def test_write_deep():
     value = {"a": [1, 2.5, None, True, "é\""], "b": {}, "c": [], "d": {"e": [[{}]]}}
     assert json.loads(documents.write_deep(value)) == value
