@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Fixed values of the data formats.
 NAME_PREFIX = "hCoV-19/"
 INNER_PREFIX = "NODE_"
+#: A numbered subtree of a family: its parent's name is the first group.
+SUBTREE = r"^(rdrp-[a-z]+-xs)_(\d+)$"
+PUBLISH_ROOT = "trajectories"
 FORBIDDEN_IN_FILES = r'[/\\:*?"<>| ]'
 
 
@@ -41,11 +44,8 @@ def split_of(c) -> Column:
     return F.when(F.length(low) > 0, low).otherwise(F.lit("train"))
 
 
-def publish_prefix(analysis, prefix: str = "export") -> Column:
-    """Where an analysis is published: numbered subtrees nest below their parent."""
+def publish_prefix(analysis, prefix: str = PUBLISH_ROOT) -> Column:
+    """Where an analysis is published: numbered subtrees of a family nest below their parent, under their whole name."""
     name = _col(analysis)
-    pattern = r"^(.+-xs)_(\d+)$"
-    nested = F.concat_ws(
-        "/", F.lit(prefix), F.regexp_extract(name, pattern, 1), F.lit("subtrees"), F.regexp_extract(name, pattern, 2)
-    )
-    return F.when(F.regexp_like(name, F.lit(pattern)), nested).otherwise(F.concat_ws("/", F.lit(prefix), name))
+    nested = F.concat_ws("/", F.lit(prefix), F.regexp_extract(name, SUBTREE, 1), F.lit("subtrees"), name)
+    return F.when(F.regexp_like(name, F.lit(SUBTREE)), nested).otherwise(F.concat_ws("/", F.lit(prefix), name))

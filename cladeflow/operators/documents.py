@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cladeflow.functions.names import NAME_PREFIX, clean_name
+from cladeflow.functions.names import clean_name
 from cladeflow.functions.sequences import mutation_base, mutation_position, substituted
 from cladeflow.operators import nested
 from cladeflow.operators.lineage import analysis_of, closure
@@ -120,59 +119,37 @@ def color_map(auspice: DataFrame) -> DataFrame:
 SPLIT_COLORING = {"key": "train_test", "title": "Train/Test Split", "type": "categorical", "scale": [["train", "#4C78A8"], ["test", "#E45756"]]}
 
 
-def write_deep(document) -> str:
-    """Compact JSON of any depth."""
-    out, stack = [], [document]
-    text = lambda v: json.dumps(v, ensure_ascii=False)
-    while stack:
-        value = stack.pop()
-        if isinstance(value, tuple):  # a finished piece of text
-            out.append(value[0])
-        elif isinstance(value, dict):
-            parts: list = [("{",)]
-            for no, (key, inner) in enumerate(value.items()):
-                parts += [("," * (no > 0) + text(key) + ":",), inner]
-            stack += reversed([*parts, ("}",)])
-        elif isinstance(value, list):
-            parts = [("[",)]
-            for no, inner in enumerate(value):
-                parts += [("," * (no > 0),), inner]
-            stack += reversed([*parts, ("]",)])
-        else:
-            out.append(text(value))
-    return "".join(out)
-
-
 def annotated_documents(auspice: DataFrame, splits: DataFrame) -> DataFrame:
     """record_id, tree_json with `train_test` on every named node and among the colorings.
 
-    splits: dataset, node, split; a node without one is train. Names are compared without prefix. A coloring that is there already is
-    replaced in its place. Documents that are broken or hold no tree give no rows.
+    splits: dataset, node, split; a node without one is train. Names are compared without prefix. A coloring that
+    is there already is replaced in its place. Documents that are broken or hold no tree give no rows; a `meta` or
+    `colorings` of another type is replaced. Labels meet the flattened nodes in a join, and a document gets the
+    numbers of its own test nodes only.
     """
-    test = splits.where("split = 'test'").groupBy("dataset").agg(F.collect_set(clean_name("node")).alias("test"))
-    rows = auspice.select("record_id", "dataset", "tree_json").join(test, "dataset", "left")
+    nodes = nested.nodes_table(nested.flatten_documents(auspice, ("node",))).where("name <> ''").select("record_id", "pre", clean_name("name").alias("node"))
+    test = splits.where("split = 'test'").select("dataset", clean_name("node").alias("node")).distinct()
+    marked = nodes.join(auspice.select("record_id", "dataset").distinct(), "record_id").join(test, ["dataset", "node"], "left_semi")
+    numbers = marked.groupBy("record_id").agg(F.collect_set("pre").alias("test"))  # fewer than the document has nodes
+    rows = auspice.select("record_id", "tree_json").join(numbers, "record_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = [], []
-            for record, text, names in zip(*(batch.column(c).to_pylist() for c in ("record_id", "tree_json", "test"))):
+            for record, text, numbers in zip(*(batch.column(c).to_pylist() for c in ("record_id", "tree_json", "test"))):
                 document = nested.parse_document(text)
                 root = nested.root_of(document)
                 if root is None:
                     continue
-                held = set(names or ())
-                stack = [root]
-                while stack:
-                    node = stack.pop()
-                    if name := nested.node_name(node):
-                        if not isinstance(node.get("node_attrs"), dict):
-                            node["node_attrs"] = {}
-                        node["node_attrs"]["train_test"] = {"value": "test" if name.removeprefix(NAME_PREFIX) in held else "train"}
-                    stack += [c for c in node.get("children") or [] if isinstance(c, dict)]
+                held = set(numbers or ())
+                found = [(pre, node) for pre, node in nested.numbered_nodes(root) if nested.node_name(node)]
+                for pre, node in found:  # after the walk, as the label is an attribute too
+                    if not isinstance(node.get("node_attrs"), dict):
+                        node["node_attrs"] = {}
+                    node["node_attrs"]["train_test"] = {"value": "test" if pre in held else "train"}
                 if document is not root:
-                    meta = document.setdefault("meta", {}) or {}
-                    document["meta"] = meta
-                    colorings = [c for c in meta.get("colorings") or []]
+                    meta = document["meta"] = document["meta"] if isinstance(document.get("meta"), dict) else {}
+                    colorings = list(meta["colorings"]) if isinstance(meta.get("colorings"), list) else []
                     at = [k for k, c in enumerate(colorings) if isinstance(c, dict) and c.get("key") == "train_test"]
                     if at:
                         colorings[at[0]] = colorings[at[0]] | SPLIT_COLORING
@@ -180,7 +157,7 @@ def annotated_documents(auspice: DataFrame, splits: DataFrame) -> DataFrame:
                         colorings.append(SPLIT_COLORING)
                     meta["colorings"] = colorings
                 ids.append(record)
-                texts.append(write_deep(document))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["record_id", "tree_json"])
+                texts.append(nested.write_deep(document))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), nested.strings(texts)], ["record_id", "tree_json"])
 
     return rows.mapInArrow(run, "record_id long, tree_json string")

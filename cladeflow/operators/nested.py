@@ -84,12 +84,16 @@ def parse_deep(text: str):
             i = _SPACE.match(text, i + 1).end()
 
 
+def _no_constant(word: str):
+    raise ValueError(f"{word} is no JSON")
+
+
 def parse_document(text: str | None):
-    """The document, or None where the text is null or not one complete JSON document."""
+    """The document, or None where the text is null or not one complete JSON document. NaN and Infinity are no JSON."""
     if text is None:
         return None
     try:
-        return json.loads(text)
+        return json.loads(text, parse_constant=_no_constant)
     except RecursionError:
         try:
             return parse_deep(text)
@@ -115,12 +119,49 @@ def node_name(node: dict) -> str:
     return ""
 
 
+def write_deep(document) -> str:
+    """Compact JSON of any depth."""
+    out, stack = [], [document]
+    text = lambda v: json.dumps(v, ensure_ascii=False)
+    while stack:
+        value = stack.pop()
+        if isinstance(value, tuple):  # a finished piece of text
+            out.append(value[0])
+        elif isinstance(value, dict):
+            parts: list = [("{",)]
+            for no, (key, inner) in enumerate(value.items()):
+                parts += [("," * (no > 0) + text(key) + ":",), inner]
+            stack += reversed([*parts, ("}",)])
+        elif isinstance(value, list):
+            parts = [("[",)]
+            for no, inner in enumerate(value):
+                parts += [("," * (no > 0),), inner]
+            stack += reversed([*parts, ("]",)])
+        else:
+            out.append(text(value))
+    return "".join(out)
+
+
 def _text(value) -> str:
-    return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+    if isinstance(value, str):
+        return value
+    return write_deep(value) if isinstance(value, (dict, list)) else json.dumps(value, ensure_ascii=False)
+
+
+def clean_text(text: str | None) -> str | None:
+    """Half a surrogate pair, which JSON may hold and columns can't, becomes a question mark."""
+    return text if text is None else text.encode("utf-8", "replace").decode("utf-8")
+
+
+def strings(values) -> pa.Array:
+    try:
+        return pa.array(values, pa.string())
+    except UnicodeEncodeError:
+        return pa.array([clean_text(v) for v in values], pa.string())
 
 
 def _attributes(node: dict):
-    """(field, value as text, shape) of node_attrs (v2) or attr (v1); an object's `value` stands for the object.
+    """(field, value, shape) of node_attrs (v2) or attr (v1); an object's `value` stands for the object.
 
     shape is text or other for the `value` of an object, plain for what isn't wrapped so.
     """
@@ -133,7 +174,7 @@ def _attributes(node: dict):
                     value = value["value"]
                     shape = "text" if isinstance(value, str) else "other"
                 if value is not None:
-                    yield field, _text(value), shape
+                    yield field, value, shape
 
 
 def _mutations(node: dict):
@@ -143,30 +184,35 @@ def _mutations(node: dict):
         for gene, entries in genes.items():
             if isinstance(entries, list):
                 for no, entry in enumerate(entries):
-                    yield gene, no, f"{gene}:{_text(entry)}"
+                    yield gene, no, entry
 
 
 def walk(root: dict, kinds: set[str]) -> Iterator[tuple]:
-    """The items of one tree, a node when it is left, all others when they are met."""
+    """The items of one tree, a node when it is left, all others when they are met.
+
+    The clock runs over all items whatever the kinds asked for, so tables made apart have the same labels.
+    """
+    attributes, mutations, nodes = "attribute" in kinds, "mutation" in kinds, "node" in kinds
     clock = 0
     stack = [(root, None, 0, "0", 0, None)]  # node or its finished row, parent's pre, depth, path, sibling position
     while stack:
         node, parent_pre, depth, path, position, entered = stack.pop()
         if entered is not None:
-            yield entered, clock, parent_pre, depth, path, "node", position, None, node_name(node), None
+            if nodes:
+                yield entered, clock, parent_pre, depth, path, "node", position, None, node_name(node), None
             clock += 1
             continue
         pre = clock
         clock += 1
         stack.append((node, parent_pre, depth, path, position, pre))
-        if "attribute" in kinds:
-            for no, (field, value, shape) in enumerate(_attributes(node)):
-                yield clock, clock, pre, depth, path, "attribute", no, field, value, shape
-                clock += 1
-        if "mutation" in kinds:
-            for gene, no, entry in _mutations(node):
-                yield clock, clock, pre, depth, path, "mutation", no, gene, entry, None
-                clock += 1
+        for no, (field, value, shape) in enumerate(_attributes(node)):
+            if attributes:
+                yield clock, clock, pre, depth, path, "attribute", no, field, _text(value), shape
+            clock += 1
+        for gene, no, entry in _mutations(node):
+            if mutations:
+                yield clock, clock, pre, depth, path, "mutation", no, gene, f"{gene}:{_text(entry)}", None
+            clock += 1
         children = node.get("children")
         if isinstance(children, list):
             for no in range(len(children) - 1, -1, -1):
@@ -174,6 +220,23 @@ def walk(root: dict, kinds: set[str]) -> Iterator[tuple]:
                     stack.append((children[no], pre, depth + 1, f"{path}.{no}", no, None))
 
 
+def numbered_nodes(root: dict) -> Iterator[tuple[int, dict]]:
+    """(pre, node) of every node in pre-order, by the clock of walk()."""
+    clock, stack = 0, [root]
+    while stack:
+        node = stack.pop()
+        if node is None:
+            clock += 1
+            continue
+        pre = clock
+        clock += 1 + sum(1 for _ in _attributes(node)) + sum(1 for _ in _mutations(node))
+        stack.append(None)
+        children = node.get("children")
+        if isinstance(children, list):
+            stack += [c for c in reversed(children) if isinstance(c, dict)]
+        yield pre, node
+
+
 def flatten_documents(
     df: DataFrame, kinds: tuple[str, ...] = ("node", "attribute", "mutation"), id_column: str = "record_id", json_column: str = "tree_json"
 ) -> DataFrame:
@@ -183,7 +246,7 @@ def flatten_documents(
     that carries the item; null for the root); depth; node_path (`0`, `0.2`, ...); item_kind; item_no
     (position among siblings, fields, or the gene's entries); field (attribute name or gene); item (name,
     value or `gene:entry`). Null, empty and broken texts, and documents without a tree, give no rows;
-    children that are no objects are no nodes but keep their position. Documents fetched twice give rows
+    children that are no objects are no nodes but keep their position. Labels don't depend on the kinds. Documents fetched twice give rows
     under each record_id. Other columns of df are ignored.
 
     Documents are spread over the tasks by id, as their sizes are very uneven; a document is parsed in
@@ -196,7 +259,7 @@ def flatten_documents(
         types = [pa.int64()] * 4 + [pa.int32(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string()]
 
         def batch_of(rows: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+            return pa.RecordBatch.from_arrays([strings(c) if t == pa.string() else pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
         rows, chars = [], 0
         for batch in batches:

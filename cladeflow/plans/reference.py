@@ -494,6 +494,6 @@ ORACLE = {
         from (select distinct dataset, regexp_replace(name, '^hCoV-19/', '') as name from alignment where dataset is not null and length(seq) > 0
           and not starts_with(regexp_replace(name, '^hCoV-19/', ''), 'NODE_'))) where rn <= greatest(1, floor(n * 0.2))""",
     "sanitize_name": """select distinct dataset, name, regexp_replace(regexp_replace(name, '^hCoV-19', ''), '[/\\\\:*?"<>| ]', '', 'g') as stem from metadata where name is not null""",
-    "publish_paths": """select dataset, case when regexp_matches(dataset, '^(.+-xs)_(\\d+)$') then 'export/' || regexp_extract(dataset, '^(.+-xs)_(\\d+)$', 1) || '/subtrees/' ||
-        regexp_extract(dataset, '^(.+-xs)_(\\d+)$', 2) else 'export/' || dataset end as prefix, count(*) as n_rows from metadata where dataset is not null group by 1, 2""",
+    "publish_paths": """select dataset, 'trajectories/' || case when regexp_full_match(dataset, 'rdrp-[a-z]+-xs_\\d+')
+        then regexp_replace(dataset, '_\\d+$', '') || '/subtrees/' || dataset else dataset end as prefix, count(*) as n_rows from metadata where dataset is not null group by 1, 2""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,9 +26,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8) -> Spar
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset (local tests)."""
+    """The folder in spark.checkpoint.dir; where that is unset a temporary one, but only if all tasks run in this
+    process: on a cluster a folder of one machine would lose the intermediate tables."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")

@@ -15,8 +15,9 @@ def test_names(spark):
     assert one(spark, names.label("n"), n=" \t vel-3 ") == "VEL-3"
     assert [one(spark, names.split_of("n"), n=v) for v in (" Test ", "", "  ", None, "TRAIN")] == ["test", "train", "train", "train", "train"]
     assert one(spark, names.is_tip_name("n"), n="hCoV-19/NODE_1") is False
-    assert one(spark, names.publish_prefix("n"), n="fam-a-xs_001") == "export/fam-a-xs/subtrees/001"
-    assert one(spark, names.publish_prefix("n"), n="fam-sm") == "export/fam-sm"
+    assert one(spark, names.publish_prefix("n"), n="rdrp-abc-xs_001") == "trajectories/rdrp-abc-xs/subtrees/rdrp-abc-xs_001"
+    assert one(spark, names.publish_prefix("n"), n="rdrp-a1-xs_001") == "trajectories/rdrp-a1-xs_001"
+    assert one(spark, names.publish_prefix("n"), n="fam-xs_001") == "trajectories/fam-xs_001"
 
 
 def naive(a, b):

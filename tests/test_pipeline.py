@@ -53,11 +53,11 @@ def test_prefixed_names_labelled(spark):
 
 def test_write_deep():
     value = {"a": [1, 2.5, None, True, "é\""], "b": {}, "c": [], "d": {"e": [[{}]]}}
-    assert json.loads(documents.write_deep(value)) == value
+    assert json.loads(nested.write_deep(value)) == value
     deep: list = []
     for _ in range(5000):
         deep = [deep]
-    assert documents.write_deep(deep) == "[" * 5001 + "]" * 5001
+    assert nested.write_deep(deep) == "[" * 5001 + "]" * 5001
 
 
 def test_settings_and_sources(spark, tmp_path):

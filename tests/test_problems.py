@@ -94,6 +94,34 @@ def test_interval_labels_contain_what_they_carry(spark):
         assert (max(n.pre for n in around) if around else None) == r.parent_pre
 
 
+def test_tables_made_apart_have_the_same_labels(spark):
+    rows = [(1, json.dumps(tree_document())), (2, json.dumps({"strain": "r", "attr": {"div": 1, "x": None}, "children": [tree_document()["tree"]]}))]
+    df = spark.createDataFrame(rows, "record_id long, tree_json string")
+    nodes = nested.nodes_table(nested.flatten_documents(df, ("node",)))
+    spans = {(r.record_id, r.pre): r for r in nodes.collect()}
+    for kind, made in (("attribute", nested.attributes_table), ("mutation", nested.mutations_table)):
+        items = made(nested.flatten_documents(df, (kind,))).collect()
+        assert items
+        for r in items:
+            node = spans[r.record_id, r.node_pre]
+            around = [n for n in spans.values() if n.record_id == r.record_id and n.pre < r.pre < n.post]
+            assert node.node_path == r.node_path and max(n.pre for n in around) == r.node_pre
+
+
+@pytest.mark.parametrize("word", ["NaN", "Infinity", "-Infinity"])
+def test_no_constants_at_any_depth(word):
+    for depth in (0, 3000):
+        text = '{"a":' * depth + '{"a":%s}' + "}" * depth
+        assert nested.parse_document(text % word) is None and nested.parse_document(text % "1") is not None
+
+
+def test_half_surrogates_and_deep_values(spark):
+    deep = '{"name":"n\\ud800","node_attrs":{"x":{"value":' + "[" * 3000 + "]" * 3000 + "}}}"
+    df = spark.createDataFrame([(1, deep)], "record_id long, tree_json string")
+    got = {r.item_kind: r.item for r in nested.flatten_documents(df).collect()}
+    assert got == {"node": "n?", "attribute": "[" * 3000 + "]" * 3000}
+
+
 @pytest.mark.parametrize("text", ["[1, 2.5e3, -0, true, null, \"a\\u00e9\\\"\"]", '{"a": {"b": []}, "c": {}}', " 3 "])
 def test_parse_deep(text):
     assert nested.parse_deep(text) == json.loads(text)
