@@ -4,8 +4,8 @@ Cycles. Links are peeled from both ends: a link to a node without children, or f
 parents, lies on no cycle. Between peelings, links in a row are spliced: a node with one parent and one
 child is taken out and its parent linked to its child, if it drew a lower lot than both (no two of
 these are neighbours), so that the number of rounds grows with the logarithm of the depth and not with the depth. What is left
-is a small core in which every node has several parents or children; its strong components come from
-reachability by doubling. Spliced nodes are put back round by round.
+is a core in which every node has several parents or children; its strong components are found by colours,
+with a row a node or link. A spliced node is on a cycle exactly if the link that took its place is.
 
 Hierarchies. Without the cycle nodes and with one parent a node the links form a forest. Every node
 contributes an arc down to it and an arc up from it; the arcs of a tree form one list, the Euler tour,
@@ -15,29 +15,16 @@ ancestors come from interval containment, joined over dyadic blocks of the entry
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cladeflow.functions.names import clean_name
 from cladeflow.operators.dense_ids import dense_ids
 from cladeflow.operators.intervals import interval_blocks, point_blocks
-from cladeflow.session import fresh_path, remove, written_at
-
-
-class _Steps:
-    """Tables written one after another into the shared folder, each deleted once it is no longer read."""
-
-    def __init__(self, spark, name: str) -> None:
-        self.spark, self.root, self.n, self.held = spark, fresh_path(spark, name), 0, {}
-
-    def put(self, slot: str, df: DataFrame) -> DataFrame:
-        self.n += 1
-        path = f"{self.root}/{slot}-{self.n}"
-        result = written_at(df, path)
-        if slot in self.held:
-            remove(self.spark, self.held[slot])
-        self.held[slot] = path
-        return result
+from cladeflow.operators.jumping import along_paths, last_known, summed
+from cladeflow.session import Steps, written
 
 
 def named_links(branches: DataFrame) -> DataFrame:
@@ -64,79 +51,102 @@ def _lot(node: str, turn: int) -> Column:
 
 
 def cycle_ids(edges: DataFrame) -> DataFrame:
-    """(id, component) of every node that is its own ancestor; component is equal within a cycle cluster.
+    """The id of every node that is its own ancestor, once.
 
     edges: distinct (u, v). Self-links count. An empty input gives no rows.
     """
+    links = _peeled(edges)
+    return written(links.select(F.col("u").alias("id")).distinct(), "cycles")  # a link on a cycle starts at a node on it
+
+
+def _peeled(edges: DataFrame) -> DataFrame:
+    """The links (u, v) that lie on cycles, repeated or not.
+
+    A round takes two jobs, one for the nodes' degrees and one for the links that stay; the counts that end the
+    loop are taken on the way.
+    """
     spark = edges.sparkSession
-    steps = _Steps(spark, "peel")
-    edges = steps.put("edges", edges)
-    spliced: list[DataFrame] = []
-    loops: list[DataFrame] = []
-    left, n_loops = edges.agg(F.count("*"), F.count_if(F.col("u") == F.col("v"))).first()
+    steps = Steps(spark, "peel")
+    loop = F.col("u") == F.col("v")
+    edges, seen = steps.measured("edges0", edges, left=F.count_if(~loop), loops=F.count_if(loop))
+    spliced: list[str] = []
+    looped: list[DataFrame] = [edges.where("u = v")] if seen["loops"] else []
     turn = 0
-    while left:
+    while seen["left"]:
         turn += 1
-        if n_loops:
-            loops.append(steps.put(f"loops{turn}", edges.where("u = v").select(F.col("u").alias("id"))))
-        ends = edges.where("u <> v").select(F.col("v").alias("id"), F.col("u").alias("pred"), F.lit(None).cast("long").alias("succ"))
-        ends = ends.unionAll(edges.where("u <> v").select(F.col("u").alias("id"), F.lit(None).cast("long"), F.col("v")))
+        true = edges.where("u <> v")
+        ends = true.select(F.col("v").alias("id"), F.col("u").alias("pred"), F.lit(None).cast("long").alias("succ"))
+        ends = ends.unionAll(true.select(F.col("u").alias("id"), F.lit(None).cast("long"), F.col("v")))
         degree = ends.groupBy("id").agg(
             F.count("pred").alias("n_in"), F.count("succ").alias("n_out"), F.min("pred").alias("pred"), F.min("succ").alias("succ")
         )
-        degree = steps.put("degree", degree)
         chain = (F.col("n_in") == 1) & (F.col("n_out") == 1)
         out = chain & (_lot("id", turn) < _lot("pred", turn)) & (_lot("id", turn) < _lot("succ", turn))
-        picked = degree.where(out).select("id", "pred", "succ")
-        alive_from = degree.where((F.col("n_in") > 0) & ~out).select(F.col("id").alias("u"))
-        alive_to = degree.where((F.col("n_out") > 0) & ~out).select(F.col("id").alias("v"))
-        kept = edges.where("u <> v").join(alive_from, "u", "left_semi").join(alive_to, "v", "left_semi")
-        bridged = picked.select(F.col("pred").alias("u"), F.col("succ").alias("v"))
-        after = steps.put("edges", kept.select("u", "v").unionAll(bridged).distinct())
-        spliced.append(steps.put(f"spliced{turn}", picked))
-        before = left
-        left, n_loops = after.agg(F.count("*"), F.count_if(F.col("u") == F.col("v"))).first()
-        edges = after
-        if left == before and not n_loops and not degree.where(chain).limit(1).count():
-            break
-    core = _strong_components(edges, steps) if left else None
-    looped = loops[0] if loops else None
-    for more in loops[1:]:
-        looped = looped.unionAll(more)
-    known = core
-    if looped is not None:
-        alone = looped.select("id", F.col("id").alias("component"))
-        if core is not None:
-            alone = alone.join(core.select("id"), "id", "left_anti")
-        known = alone if core is None else core.unionAll(alone)
-    if known is None:
-        return spark.createDataFrame([], "id long, component long")
-    known = steps.put("known", known.distinct())
-    if not known.limit(1).count():
-        return known
-    for out in reversed(spliced):
-        before = known.select(F.col("id").alias("pred"), F.col("component"))
-        behind = known.select(F.col("id").alias("succ"), F.col("component").alias("other"))
-        back = out.join(before, "pred").join(behind, "succ").where("component = other").select("id", "component")
-        # a node may have closed a loop on itself before it was spliced out
-        merged = known.unionAll(back).groupBy("id").agg(F.max(F.when(F.col("component") != F.col("id"), F.col("component"))).alias("c"))
-        known = steps.put("known", merged.select("id", F.coalesce("c", "id").alias("component")))
-    return known
-
-
-def _strong_components(edges: DataFrame, steps: _Steps) -> DataFrame:
-    """(id, component) of the nodes on cycles, by doubling of reachability over the peeled core."""
-    reach = steps.put("reach", edges.select("u", "v").distinct())
-    size = reach.count()
-    while True:
-        longer = reach.select("u", F.col("v").alias("m")).join(reach.select(F.col("u").alias("m"), "v"), "m").select("u", "v")
-        reach = steps.put("reach", reach.unionAll(longer).distinct())
-        grown = reach.count()
-        if grown == size:
-            break
-        size = grown
-    both = reach.join(reach.select(F.col("v").alias("u"), F.col("u").alias("v")), ["u", "v"])
-    return both.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component"))
+        state = F.when(out, 2).when((F.col("n_in") == 0) | (F.col("n_out") == 0), 0).otherwise(1).cast("byte")
+        degree = degree.select("id", state.alias("state"), F.when(out, F.col("pred")).alias("pred"), F.when(out, F.col("succ")).alias("succ"), chain.alias("chain"))
+        degree, nodes = steps.measured(f"degree{turn}", degree, out=F.count_if(F.col("state") == 2), ends=F.count_if(F.col("state") == 0), chains=F.count_if("chain"))
+        if not nodes["out"] and not nodes["ends"] and not nodes["chains"]:
+            break  # every node left has several parents or several children
+        gone = degree.where("state <> 1").select("id")
+        kept = true.join(gone.withColumnRenamed("id", "u"), "u", "left_anti").join(gone.withColumnRenamed("id", "v"), "v", "left_anti").select("u", "v")
+        picked = degree.where("state = 2").select("id", "pred", "succ")
+        if nodes["out"]:
+            spliced.append(steps.held[f"degree{turn}"])
+            kept = kept.unionAll(picked.select(F.col("pred").alias("u"), F.col("succ").alias("v"))).distinct()
+        edges, seen = steps.measured(f"edges{turn}", kept, left=F.count_if(~loop), loops=F.count_if(loop))
+        if seen["loops"]:
+            looped.append(edges.where("u = v"))
+    turning = looped + ([_turning_links(edges.where("u <> v"), steps)] if seen["left"] else [])
+    if not turning:
+        return spark.createDataFrame([], "u long, v long")
+    # a spliced node is on a cycle exactly if the link that took its place is, and then so are its own two links
+    bridges = spark.read.schema(degree.schema).parquet(*spliced).where("state = 2").select("id", "pred", "succ") if spliced else None
+    links, found = steps.measured("turning0", reduce(DataFrame.unionAll, turning).select("u", "v").distinct(), n=F.count("*"))
+    every = [links]
+    bridges = steps.put("bridges", bridges) if bridges is not None and found["n"] else None
+    while bridges is not None and found["n"]:
+        mid, found = steps.measured(f"turning{len(every)}", bridges.join(links.toDF("pred", "succ"), ["pred", "succ"]), n=F.count("*"))
+        before, behind = F.struct(F.col("pred").alias("u"), F.col("id").alias("v")), F.struct(F.col("id").alias("u"), F.col("succ").alias("v"))
+        links = mid.select(F.explode(F.array(before, behind)).alias("l")).select("l.*").distinct()
+        every.append(links)
+    return reduce(DataFrame.unionAll, every)
+
+
+def _turning_links(edges: DataFrame, steps: Steps) -> DataFrame:
+    """The links (u, v) that lie on cycles, of the peeled core (distinct links without loops), by colours.
+
+    The lowest lot that reaches a node colours it; the node that drew it is the colour's root, and the nodes of the colour
+    from which the root can be reached make up a component. These leave; links between colours are on no cycle and
+    leave as well; the rest is peeled and coloured anew. Every table holds a row a node or link, never one a pair of nodes.
+    """
+    lot = F.struct(F.xxhash64("id", F.lit(0)).alias("lot"), F.col("id").alias("root"))
+    nodes = edges.select(F.col("u").alias("id")).unionAll(edges.select(F.col("v"))).distinct()
+    colour = steps.put("colour", nodes.select("id", lot.alias("c")))
+    front, seen = steps.measured("front", colour, n=F.count("*"))
+    while seen["n"]:
+        told = front.join(edges, F.col("id") == F.col("u")).groupBy(F.col("v").alias("id")).agg(F.min("c").alias("told"))
+        better = told.join(colour, "id").where("told < c").select("id", F.col("told").alias("c"))
+        front, seen = steps.measured("front", better, n=F.count("*"))
+        if seen["n"]:
+            lower = front.select("id", F.col("c").alias("told"))
+            colour = steps.put("colour", colour.join(lower, "id", "left").select("id", F.coalesce("told", "c").alias("c")))
+    of = colour.select("id", F.col("c.root").alias("root"))
+    inside = edges.join(of.toDF("u", "root"), "u").join(of.toDF("v", "other"), "v").where("root = other")
+    inside = steps.put("inside", inside.select("u", "v", "root"))
+    layer, seen = steps.measured("back", inside.select(F.col("root").alias("id"), F.col("root").alias("component")).distinct(), n=F.count("*"))
+    reached = [layer]
+    while seen["n"]:
+        above = inside.join(layer.toDF("v", "component"), "v").select(F.col("u").alias("id"), F.col("root").alias("component")).distinct()
+        known = reduce(DataFrame.unionAll, reached).select("id")
+        layer, seen = steps.measured(f"back{len(reached)}", above.join(known, "id", "left_anti"), n=F.count("*"))
+        reached.append(layer)
+    whole = steps.put("components", reduce(DataFrame.unionAll, reached))
+    ends = whole.select(F.col("id").alias("u"), F.col("component").alias("a")), whole.select(F.col("id").alias("v"), F.col("component").alias("b"))
+    found = steps.put("found", inside.join(ends[0], "u").join(ends[1], "v").where("a = b").select("u", "v"))
+    gone = whole.select("id")
+    rest = inside.join(gone.toDF("u"), "u", "left_anti").join(gone.toDF("v"), "v", "left_anti").select("u", "v")
+    rest, seen = steps.measured("rest", rest, n=F.count("*"))
+    return found.unionAll(_peeled(rest)) if seen["n"] else found
 
 
 def cycle_nodes(branches: DataFrame) -> DataFrame:
@@ -145,13 +155,13 @@ def cycle_nodes(branches: DataFrame) -> DataFrame:
     A row that names a node as its own parent counts; nodes below a cycle don't. Nulls add no link.
     """
     edges, ids = numbered(named_links(branches))
-    return ids.join(cycle_ids(edges).select("id"), "id").select("dataset", "node")
+    return ids.join(cycle_ids(edges), "id").select("dataset", "node")
 
 
 def forest(branches: DataFrame, names: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(nodes, links, cycles): every node off the cycles, one link to a parent for each that has one.
 
-    nodes: id, dataset, node, below_cycle. links: id, parent_id. cycles: dataset, node, component.
+    nodes: id, dataset, node, below_cycle. links: id, parent_id. cycles: dataset, node.
     names (dataset, name) adds nodes that no link mentions. Of several parents a node takes the one
     exported last, then the first by name; a parent on a cycle counts only if there is no other, and then
     the node becomes a root with below_cycle set.
@@ -162,14 +172,14 @@ def forest(branches: DataFrame, names: DataFrame | None = None) -> tuple[DataFra
     everything = mentioned.unionAll(alone)
     if names is not None:
         everything = everything.unionAll(names.select("dataset", clean_name("name").alias("node")))
-    steps = _Steps(branches.sparkSession, "forest")
+    steps = Steps(branches.sparkSession, "forest")
     ids = dense_ids(everything, ["dataset", "node"], "id")
     parents = ids.select("dataset", F.col("node").alias("parent"), F.col("id").alias("u"))
     children = ids.select("dataset", F.col("node").alias("child"), F.col("id").alias("v"))
     dated = branches.select("dataset", clean_name("parent").alias("parent"), clean_name("child").alias("child"), "exported_at")
     dated = dated.groupBy("dataset", "parent", "child").agg(F.max("exported_at").alias("seen")).dropna(subset=["dataset", "parent", "child"])
     edges = steps.put("dated", dated.join(parents, ["dataset", "parent"]).join(children, ["dataset", "child"]).select("u", "v", "seen"))
-    found = steps.put("cycles", cycle_ids(edges.select("u", "v")))
+    found = cycle_ids(edges.select("u", "v"))
     off = edges.join(found.select(F.col("id").alias("v")), "v", "left_anti")
     marked = off.join(found.select(F.col("id").alias("u"), F.lit(True).alias("on_cycle")), "u", "left")
     best = marked.groupBy("v").agg(
@@ -180,46 +190,43 @@ def forest(branches: DataFrame, names: DataFrame | None = None) -> tuple[DataFra
     nodes = ids.join(found.select("id"), "id", "left_anti").join(best.where("below_cycle").select(F.col("v").alias("id"), "below_cycle"), "id", "left")
     nodes = steps.put("nodes", nodes.select("id", "dataset", "node", F.coalesce("below_cycle", F.lit(False)).alias("below_cycle")))
     tree = best.where("not below_cycle").select(F.col("v").alias("id"), F.col("u").alias("parent_id"))
-    return nodes, tree, ids.join(found, "id").select("dataset", "node", "component")
+    return nodes, tree, ids.join(found, "id").select("dataset", "node")
 
 
 def tour_ranks(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, root_id, depth, entry, size) by ranking the Euler tours of all trees at once.
+    """(id, root_id, depth, entry, size, n_leaves, leaf_entry) by ranking the Euler tours of all trees at once.
 
-    nodes: id; links: id, parent_id, a forest. entry is the node's pre-order rank in its tree, siblings in
-    the order of their ids; entry + size - 1 is the last entry rank below it. A node may have any number of
+    nodes: id; links: id, parent_id, one parent a node. entry is the node's pre-order rank in its tree, siblings in
+    the order of their ids; entry + size - 1 is the last entry rank below it. n_leaves counts the nodes without
+    children below it, itself included, leaf_entry those before it in its tree. Nodes on a cycle or below one are in no tree and
+    are left out. A node may have any number of
     children: sibling order comes from consecutive numbers over all links, not from one group a parent.
     """
-    steps = _Steps(nodes.sparkSession, "tour")
+    steps = Steps(nodes.sparkSession, "tour")
     order = dense_ids(links.select("parent_id", "id"), ["parent_id", "id"], "pos")
     follows = order.select(F.col("parent_id").alias("p"), F.col("id").alias("next_id"), (F.col("pos") - 1).alias("pos"))
     sibling = order.join(follows, "pos", "left").select("id", "parent_id", F.when(F.col("p") == F.col("parent_id"), F.col("next_id")).alias("next_id"))
     first = links.groupBy(F.col("parent_id").alias("id")).agg(F.min("id").alias("first_id"))
     around = nodes.select("id").join(first, "id", "left").join(sibling, "id", "left")
-    down = F.struct((F.col("id") * 2).alias("arc"), F.coalesce(F.col("first_id") * 2, F.col("id") * 2 + 1).alias("next"), F.lit(1).cast("long").alias("downs"))
-    up = F.struct((F.col("id") * 2 + 1).alias("arc"), F.coalesce(F.col("next_id") * 2, F.col("parent_id") * 2 + 1).alias("next"), F.lit(0).cast("long").alias("downs"))
-    arcs = around.select(F.explode(F.array(down, up)).alias("a")).select("a.*").withColumn("hops", F.lit(1).cast("long"))
-    state = steps.put("arcs", arcs.withColumn("last", F.when(F.col("next").isNull(), F.col("arc"))))
-    while state.where("next is not null").limit(1).count():
-        target = state.select(
-            F.col("arc").alias("next"), F.col("next").alias("n2"), F.col("hops").alias("h2"), F.col("downs").alias("d2"), F.col("last").alias("l2")
-        )
-        jumped = state.join(target, "next", "left").select(
-            "arc",
-            F.col("n2").alias("next"),
-            (F.col("downs") + F.coalesce("d2", F.lit(0))).alias("downs"),
-            (F.col("hops") + F.coalesce("h2", F.lit(0))).alias("hops"),
-            F.coalesce("last", "l2").alias("last"),
-        )
-        state = steps.put("arcs", jumped)
-    at = state.where("arc % 2 = 0").select((F.col("arc") / 2).cast("long").alias("id"), F.col("downs").alias("d"), F.col("hops").alias("h"), ((F.col("last") - 1) / 2).cast("long").alias("root_id"))
-    out = state.where("arc % 2 = 1").select(((F.col("arc") - 1) / 2).cast("long").alias("id"), F.col("downs").alias("d_out"))
-    whole = at.where("id = root_id").select("root_id", F.col("d").alias("n_tree"))
-    return steps.put(
-        "ranks",
-        at.join(out, "id").join(whole, "root_id").select(
-            "id", "root_id", (F.col("h") - 2 * F.col("d")).alias("depth"), (F.col("n_tree") - F.col("d")).alias("entry"), (F.col("d") - F.col("d_out")).alias("size")
-        ),
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    leaf = F.col("first_id").isNull().cast("long")
+    arc = lambda at, ahead, down, leaves: F.struct(
+        at.alias("arc"), ahead.alias("next"), down.alias("downs"), leaves.alias("leaves"), one.alias("hops"), at.alias("last")
+    )
+    down = arc(F.col("id") * 2, F.coalesce(F.col("first_id") * 2, F.col("id") * 2 + 1), one, leaf)
+    up = arc(F.col("id") * 2 + 1, F.coalesce(F.col("next_id") * 2, F.col("parent_id") * 2 + 1), none, none)
+    arcs = around.select(F.explode(F.array(down, up)).alias("a")).select("a.*")
+    ranked = along_paths(arcs, ["arc"], ["next"], {"downs": summed, "leaves": summed, "hops": summed, "last": last_known})
+    # both arcs of a node meet by its id
+    ahead = lambda kind, c: F.max(F.when(F.col("arc") % 2 == kind, F.col(c)))
+    at = ranked.groupBy(F.shiftright("arc", 1).alias("id")).agg(
+        ahead(0, "downs").alias("d"), ahead(0, "hops").alias("h"), ahead(0, "leaves").alias("l"), ahead(1, "downs").alias("d_out"), ahead(1, "leaves").alias("l_out"),
+        F.shiftright(F.max("last"), 1).alias("root_id"),
+    )
+    at = steps.put("ranks", at)
+    whole = at.where("id = root_id").select("root_id", F.col("d").alias("n_tree"), F.col("l").alias("l_tree"))
+    return at.join(whole, "root_id").selectExpr(
+        "id", "root_id", "h - 2 * d as depth", "n_tree - d as entry", "d - d_out as size", "l - l_out as n_leaves", "l_tree - l as leaf_entry"
     )
 
 

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8) -> SparkSession:
@@ -82,3 +82,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def written_at(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Steps:
+    """Tables that a loop writes one after another into the shared folder, each deleted once its slot is written again."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.root, self.n, self.held = spark, fresh_path(spark, name), 0, {}
+
+    def put(self, slot: str, df: DataFrame) -> DataFrame:
+        self.n += 1
+        path = f"{self.root}/{slot}-{self.n}"
+        result = written_at(df, path)
+        if slot in self.held:
+            remove(self.spark, self.held[slot])
+        self.held[slot] = path
+        return result
+
+    def measured(self, slot: str, df: DataFrame, **counts: Column) -> tuple[DataFrame, dict]:
+        """put(), and aggregates over the rows taken while they are written, without a job of their own.
+
+        A task that ran twice may count twice: good for telling none from some, or for a guess that is checked.
+        """
+        seen = Observation()
+        result = self.put(slot, df.observe(seen, *(c.alias(n) for n, c in counts.items())))
+        return result, seen.get
