@@ -27,7 +27,8 @@ def last_known(a: Column, b: Column) -> Column:
 def along_paths(rows: DataFrame, key: list[str], ahead: list[str], values: dict[str, Combine]) -> DataFrame:
     """(key, values): each value combined over the rows from `key` along `ahead` to the end of its path.
 
-    rows: one row per key; `ahead` names the next row's key, its last column null at the end of a path. A round
+    rows: one row per key; `ahead` names the columns of the next row's key (a column of both is the same all along a
+    path), the last of them null at the end of a path. A round
     doubles the stretch that a row covers, so the number of rounds is the logarithm of the longest path. A row is
     written once it has reached the end, and only looked up from then on. Rows on a cycle or leading into one never
     reach an end and are left out: a round that brings no row to its end leaves only such rows, as a longer
@@ -35,7 +36,8 @@ def along_paths(rows: DataFrame, key: list[str], ahead: list[str], values: dict[
     """
     spark, steps = rows.sparkSession, Steps(rows.sparkSession, "jumps")
     unended, turn, paths = F.col(ahead[-1]).isNotNull(), 0, []
-    state = rows.select(*key, *ahead, *values)
+    moving = [a for a in ahead if a not in key]
+    state = rows.select(*key, *moving, *values)
     while True:
         written, seen = steps.measured(f"{turn}", state.withColumn("_turn", F.lit(turn)), left=F.count_if(unended), ended=F.count_if(~unended))
         paths.append(steps.held[f"{turn}"])
@@ -43,8 +45,8 @@ def along_paths(rows: DataFrame, key: list[str], ahead: list[str], values: dict[
         if not seen["left"] or not seen["ended"]:
             return every.where(~unended).select(*key, *values)
         latest = F.col("_turn") == turn
-        further = [F.col(a).alias(f"_{a}") for a in ahead] + [F.col(v).alias(f"_{v}") for v in values]
+        further = [F.col(a).alias(f"_{a}") for a in moving] + [F.col(v).alias(f"_{v}") for v in values]
         target = every.where(~unended | latest).select(*(F.col(k).alias(a) for k, a in zip(key, ahead)), *further)
         jumped = written.where(unended).drop("_turn").join(target, ahead)
-        state = jumped.select(*key, *(F.col(f"_{a}").alias(a) for a in ahead), *(f(F.col(v), F.col(f"_{v}")).alias(v) for v, f in values.items()))
+        state = jumped.select(*key, *(F.col(f"_{a}").alias(a) for a in moving), *(f(F.col(v), F.col(f"_{v}")).alias(v) for v, f in values.items()))
         turn += 1

@@ -1,4 +1,8 @@
-"""Trees given by a branch table: closure, paths, clades and splits."""
+"""Trees given by a branch table: paths, clades and splits.
+
+Depths, clade sizes and membership come from ranks and pointer jumping, with a row a node; walks up a tree from
+jumps of doubling length. Only what returns whole paths builds the closure, pairs of nodes and their ancestors.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,11 @@ from pyspark.sql import functions as F
 
 from cladeflow.functions.names import clean_name
 from cladeflow.functions.sequences import masked_hamming
-from cladeflow.session import fresh_path, remove, written_at
+from cladeflow.operators.dense_ids import dense_ids, running_before
+from cladeflow.operators.hierarchy import tour_ranks
+from cladeflow.operators.intervals import interval_blocks, point_blocks
+from cladeflow.operators.jumping import along_paths, first_known, last_known, summed
+from cladeflow.session import Steps, fresh_path, remove, written, written_at
 
 # The defaults of the analyses' settings.
 MUTATIONS_BACK = 5
@@ -71,21 +79,57 @@ def closure(links: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     return pairs
 
 
-def depths(pairs: DataFrame) -> DataFrame:
-    """dataset, node, depth, root."""
-    return pairs.groupBy("dataset", "node").agg(F.max("hops").alias("depth"), F.max_by("anc", "hops").alias("root"))
+def _upward(links: DataFrame) -> DataFrame:
+    """dataset, node, up: every node with its parent, null for a root."""
+    children = links.select("dataset", F.col("child").alias("node"), F.col("parent").alias("up"))
+    parents = links.select("dataset", F.col("parent").alias("node")).distinct()
+    roots = parents.join(children.select("dataset", "node"), ["dataset", "node"], "left_anti")
+    return children.unionByName(roots.withColumn("up", F.lit(None).cast("string")))
+
+
+def depths(links: DataFrame) -> DataFrame:
+    """dataset, node, depth, root. Nodes on a cycle or below one reach no root and are left out."""
+    step = F.col("up").isNotNull().cast("long")
+    rows = _upward(links).select("*", step.alias("depth"), F.col("node").alias("root"))
+    return along_paths(rows, ["dataset", "node"], ["dataset", "up"], {"depth": summed, "root": last_known})
+
+
+def ranked_nodes(links: DataFrame) -> DataFrame:
+    """dataset, node, id, root_id, depth, entry, size, n_leaves, leaf_entry, as tour_ranks() has them.
+
+    Siblings are in the order of their names. Nodes on a cycle or below one are left out. A written table.
+    """
+    nodes = links.select("dataset", F.col("child").alias("node")).unionAll(links.select("dataset", "parent"))
+    ids = written(dense_ids(nodes, ["dataset", "node"], "id"), "ids")
+    up, down = ids.toDF("dataset", "parent", "parent_id"), ids.toDF("dataset", "child", "id")
+    numbered = written(links.join(up, ["dataset", "parent"]).join(down, ["dataset", "child"]).select("id", "parent_id"), "numbered")
+    return written(ids.join(tour_ranks(ids, numbered), "id"), "ranked")
+
 
+def placed_nodes(links: DataFrame) -> DataFrame:
+    """ranked_nodes() with at and leaf_at, the node's pre-order number and the number of its first leaf within the dataset,
+    whose trees follow each other in the order of their roots' names, and n_tips, the dataset's number of leaves."""
+    ranked = ranked_nodes(links)
+    trees = ranked.where("id = root_id").select("dataset", "root_id", "size", "n_leaves")
+    placed = running_before(running_before(trees, ["dataset", "root_id"], "size", "at0"), ["dataset", "root_id"], "n_leaves", "leaf0")
+    placed = written(placed, "trees")
+    first = placed.groupBy("dataset").agg(F.min("at0").alias("at1"), F.min("leaf0").alias("leaf1"), F.sum("n_leaves").alias("n_tips"))
+    shifts = placed.join(first, "dataset").selectExpr("root_id", "at0 - at1 as at0", "leaf0 - leaf1 as leaf0", "n_tips")
+    whole = ranked.join(shifts, "root_id").selectExpr(*ranked.columns, "at0 + entry as at", "leaf0 + leaf_entry as leaf_at", "n_tips")
+    return written(whole, "nodes")
 
-def paths(pairs: DataFrame) -> DataFrame:
-    """dataset, node, path: names from the root to the node. Sorted by it, nodes are in pre-order."""
-    steps = F.sort_array(F.collect_list(F.struct((-F.col("hops")).alias("at"), "anc")))
-    return pairs.groupBy("dataset", "node").agg(steps.alias("s")).select("dataset", "node", F.transform("s", lambda x: x["anc"]).alias("path"))
 
+def below(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """dataset, node: the nodes of placed_nodes() that are among the roots (dataset, node) or below one of them."""
+    spans = interval_blocks(nodes.join(roots.select("dataset", "node").distinct(), ["dataset", "node"], "left_semi").select("dataset", "at", "size"), "at", "size")
+    top = nodes.groupBy("dataset").agg((F.max("at") + 1).alias("top"))
+    points = point_blocks(nodes.join(top, "dataset").select("dataset", "node", "at", "top"), "at", "top")
+    return points.join(spans.select("dataset", "level", "block").distinct(), ["dataset", "level", "block"], "left_semi").select("dataset", "node").distinct()
 
-def clade_sizes(pairs: DataFrame, tips: DataFrame) -> DataFrame:
-    """dataset, node, n_tips, n_nodes below and including each node."""
-    marked = pairs.join(tips.select("dataset", F.col("tip").alias("node"), F.lit(1).alias("is_tip")), ["dataset", "node"], "left")
-    return marked.groupBy("dataset", F.col("anc").alias("node")).agg(F.count("is_tip").alias("n_tips"), F.count("*").alias("n_nodes"))
+
+def clade_sizes(nodes: DataFrame) -> DataFrame:
+    """dataset, node, n_tips, n_nodes below and including each node of ranked_nodes()."""
+    return nodes.select("dataset", "node", F.col("n_leaves").alias("n_tips"), F.col("size").alias("n_nodes"))
 
 
 def analysis_of(dataset: str = "dataset"):
@@ -98,40 +142,60 @@ def with_settings(df: DataFrame, analyses: DataFrame) -> DataFrame:
     return df.withColumn("analysis", analysis_of()).join(F.broadcast(analyses), "analysis", "left").drop("analysis")
 
 
-def walk_back(pairs: DataFrame, links: DataFrame, tips: DataFrame, analyses: DataFrame) -> DataFrame:
+def walk_back(links: DataFrame, tips: DataFrame, analyses: DataFrame) -> DataFrame:
     """dataset, tip, clade_root: the first node from the tip up at which the distances of the branches add up to
-    mutations_back; the root if they never do. A branch without a distance counts 0."""
-    back = analyses.select("analysis", F.coalesce("mutations_back", F.lit(MUTATIONS_BACK)).alias("back"))
-    own = tips.select("dataset", F.col("tip").alias("node"))
-    up = pairs.join(own, ["dataset", "node"], "left_semi").join(
-        links.select("dataset", F.col("child").alias("anc"), F.coalesce("hamming", F.lit(0)).alias("d"), F.lit(True).alias("has_parent")), ["dataset", "anc"], "left"
-    )
-    climbed = up.withColumn("gone", F.sum(F.coalesce("d", F.lit(0))).over(Window.partitionBy("dataset", "node").orderBy("hops")))
-    enough = F.col("has_parent") & (F.col("gone") >= F.coalesce("back", F.lit(MUTATIONS_BACK)))
-    found = with_settings(climbed, back).groupBy("dataset", F.col("node").alias("tip")).agg(
-        F.coalesce(F.min_by("anc", F.when(enough, F.col("hops"))), F.max_by("anc", "hops")).alias("clade_root")
-    )
-    return found
+    mutations_back; the root if they never do. A branch without a distance counts 0.
 
-
-def monophyletic_split(pairs: DataFrame, tips: DataFrame, analyses: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    Jumps of doubling length are tabled with the distance they cover and the most gone on the way; a tip takes
+    the longest jumps that stay below mutations_back, then shorter ones. Tips below a cycle reach no root and are left out.
+    """
+    back = analyses.select("analysis", F.coalesce("mutations_back", F.lit(MUTATIONS_BACK)).alias("back"))
+    wanted = F.coalesce("back", F.lit(MUTATIONS_BACK)).cast("long").alias("back")
+    d = F.coalesce("hamming", F.lit(0)).cast("long")
+    steps = Steps(links.sparkSession, "lifting")
+    jump = with_settings(links.select("dataset", F.col("child").alias("node"), F.col("parent").alias("up"), d.alias("gone"), d.alias("peak")), back)
+    jump, seen = steps.measured("jump0", jump.select("dataset", "node", "up", "gone", "peak", wanted), n=F.count("*"))
+    jumps = []
+    while seen["n"]:
+        jumps.append(jump)
+        further = jump.select("dataset", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("gone").alias("_gone"), F.col("peak").alias("_peak"))
+        longer = jump.join(further, ["dataset", "up"]).select(
+            "dataset", "node", F.col("_up").alias("up"), (F.col("gone") + F.col("_gone")).alias("gone"), F.greatest("peak", F.col("gone") + F.col("_peak")).alias("peak"), "back"
+        )
+        before = seen["n"]
+        jump, seen = steps.measured(f"jump{len(jumps)}", longer, n=F.count("*"))
+        if seen["n"] >= before and jump.count() == jumps[-1].count():  # none came to its end: only cycles are left
+            tips = tips.join(jump.select("dataset", F.col("node").alias("tip")), ["dataset", "tip"], "left_anti")
+            break
+    at = tips.select("dataset", "tip", F.col("tip").alias("at"), F.lit(0).cast("long").alias("so_far"))
+    for level in reversed(range(len(jumps))):
+        near = jumps[level].where("peak < back").select("dataset", F.col("node").alias("at"), "up", "gone", "peak", "back")
+        go = F.col("so_far") + F.col("peak") < F.col("back")
+        at = at.join(near, ["dataset", "at"], "left").select(
+            "dataset", "tip", F.when(go, F.col("up")).otherwise(F.col("at")).alias("at"), F.when(go, F.col("so_far") + F.col("gone")).otherwise(F.col("so_far")).alias("so_far")
+        )
+        if level % 6 == 0:
+            at = steps.put("at", at)
+    return at.select("dataset", "tip", F.col("at").alias("clade_root"))
+
+
+def monophyletic_split(nodes: DataFrame, tips: DataFrame, analyses: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """dataset, node, split: one whole clade a dataset is test, the one whose tip count is nearest to the target.
 
-    Clades whose count is off by more than the tolerance are no candidates; ties go to the first in pre-order.
-    A dataset without a candidate is all train.
+    nodes: placed_nodes(). The target is max(1, int(tips * test_proportion)). Clades whose count is off by more than the
+    tolerance are no candidates; ties go to the first in pre-order. A dataset without a candidate is all train.
     """
     if not 0 <= tolerance:
         raise ValueError("tolerance must not be negative")
     total = tips.groupBy("dataset").agg(F.count("*").alias("total"))
     share = analyses.select("analysis", F.coalesce("test_proportion", F.lit(TEST_PROPORTION)).alias("share"))
-    target = with_settings(total, share).select("dataset", F.floor(F.col("total") * F.coalesce("share", F.lit(TEST_PROPORTION))).alias("target"))
-    sized = clade_sizes(pairs, tips).join(target, "dataset")
-    near = sized.where((F.col("n_tips") >= F.col("target") * (1 - tolerance)) & (F.col("n_tips") <= F.col("target") * (1 + tolerance)))
-    ranked = near.join(paths(pairs), ["dataset", "node"])
-    best = ranked.groupBy("dataset").agg(F.min_by("node", F.struct(F.abs(F.col("n_tips") - F.col("target")), "path")).alias("anc"))
-    test = pairs.join(best, ["dataset", "anc"]).select("dataset", "node", F.lit("test").alias("split"))
-    nodes = pairs.where("hops = 0").select("dataset", "node")
-    return nodes.join(test, ["dataset", "node"], "left").select("dataset", "node", F.coalesce("split", F.lit("train")).alias("split"))
+    part = F.floor(F.col("total") * F.coalesce("share", F.lit(TEST_PROPORTION)))
+    target = with_settings(total, share).select("dataset", F.greatest(F.lit(1).cast("long"), part).alias("target"))
+    off = F.abs(F.col("n_leaves") - F.col("target"))
+    near = nodes.join(target, "dataset").where((F.col("n_leaves") >= F.col("target") * (1 - tolerance)) & (F.col("n_leaves") <= F.col("target") * (1 + tolerance)))
+    best = near.groupBy("dataset").agg(F.min(F.struct(off.alias("off"), "at", "size")).alias("b")).selectExpr("dataset", "b.at as low", "b.at + b.size as high")
+    test = (F.col("at") >= F.col("low")) & (F.col("at") < F.col("high"))
+    return nodes.join(best, "dataset", "left").select("dataset", "node", F.when(test, F.lit("test")).otherwise(F.lit("train")).alias("split"))
 
 
 def clade_roots(links: DataFrame) -> DataFrame:
@@ -141,11 +205,13 @@ def clade_roots(links: DataFrame) -> DataFrame:
     return joined.where("split = 'test' and coalesce(parent_split, 'train') = 'train'").select("dataset", F.col("child").alias("clade_root"))
 
 
-def clade_membership(pairs: DataFrame, links: DataFrame, tips: DataFrame) -> DataFrame:
-    """dataset, tip, clade_root: the nearest test-clade root from each test tip up."""
+def clade_membership(links: DataFrame, tips: DataFrame) -> DataFrame:
+    """dataset, tip, clade_root: the nearest test-clade root from each test tip up. Tips below a cycle have none."""
+    marked = clade_roots(links).select("dataset", F.col("clade_root").alias("node"), F.col("clade_root").alias("first"))
+    rows = _upward(links).join(marked, ["dataset", "node"], "left")
+    found = along_paths(rows, ["dataset", "node"], ["dataset", "up"], {"first": first_known}).where("first is not null")
     own = tips.where("split = 'test'").select("dataset", F.col("tip").alias("node"))
-    up = pairs.join(own, ["dataset", "node"], "left_semi").join(clade_roots(links).withColumnRenamed("clade_root", "anc"), ["dataset", "anc"])
-    return up.groupBy("dataset", F.col("node").alias("tip")).agg(F.min_by("anc", "hops").alias("clade_root"))
+    return found.join(own, ["dataset", "node"], "left_semi").select("dataset", F.col("node").alias("tip"), F.col("first").alias("clade_root"))
 
 
 def node_sequences(alignment: DataFrame) -> DataFrame:

@@ -8,12 +8,12 @@ on the rest of the chunk, on a bounded number of intervals of tip numbers.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cladeflow.operators.dense_ids import ordinals
 from cladeflow.operators.intervals import interval_blocks, point_blocks
-from cladeflow.operators.lineage import MUTATIONS_BACK, TEST_PROPORTION, paths, walk_back, with_settings
+from cladeflow.operators.lineage import MUTATIONS_BACK, TEST_PROPORTION, below, walk_back, with_settings
 from cladeflow.session import written
 
 # Defaults of the settings.
@@ -46,15 +46,23 @@ def decide(seeds: list[tuple[int, int, int, int]], missing: int) -> list[tuple[i
     return accepted
 
 
-def random_clades(pairs: DataFrame, links: DataFrame, tips: DataFrame, analyses: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def _checked(name: str, right: Column) -> Column:
+    """The setting, or an error that names it where it is out of range; null stands for the default."""
+    return F.when(F.col(name).isNull() | right, F.col(name)).otherwise(F.raise_error(F.concat(F.lit(f"{name} is out of range: "), F.col(name).cast("string"))))
+
+
+def random_clades(nodes: DataFrame, links: DataFrame, tips: DataFrame, analyses: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """dataset, node, split: all nodes below the accepted clade roots are test, the others train.
 
     Tips are seeds in the order of md5(seed:name). From a seed the tree is walked back until the branches'
     distances reach mutations_back; the clade found is skipped if it holds more than
-    int(tips * max_clade_proportion) tips. The last clade may overshoot max(1, int(tips * test_proportion)).
+    int(tips * max_clade_proportion) tips. nodes: placed_nodes() of the links. The last clade may overshoot max(1, int(tips * test_proportion)).
     """
     if chunk < 1:
         raise ValueError("chunk must be at least 1")
+    for name in ("test_proportion", "max_clade_proportion"):
+        analyses = analyses.withColumn(name, _checked(name, F.col(name).between(0, 1)))
+    analyses = analyses.withColumn("mutations_back", _checked("mutations_back", F.col("mutations_back") >= 0))
     value = lambda name, default: F.coalesce(name, F.lit(default)).alias(name)
     settings = analyses.select(
         "analysis",
@@ -63,10 +71,8 @@ def random_clades(pairs: DataFrame, links: DataFrame, tips: DataFrame, analyses:
         value("seed", SEED),
         value("mutations_back", MUTATIONS_BACK),
     )
-    tip_paths = paths(pairs).join(tips.select("dataset", F.col("tip").alias("node")), ["dataset", "node"], "left_semi")
-    numbered = written(ordinals(tip_paths, ["dataset"], ["path", "node"], "no"), "tips").select("dataset", F.col("node").alias("tip"), "no", "n")
-    spans = pairs.join(numbered.select("dataset", F.col("tip").alias("node"), "no"), ["dataset", "node"]).groupBy("dataset", F.col("anc").alias("clade_root"))
-    spans = spans.agg(F.min("no").alias("low"), F.count("*").alias("size"))
+    numbered = nodes.where("size = 1").select("dataset", F.col("node").alias("tip"), F.col("leaf_at").alias("no"), F.col("n_tips").alias("n"))
+    spans = nodes.select("dataset", F.col("node").alias("clade_root"), F.col("leaf_at").alias("low"), F.col("n_leaves").alias("size"))
     goal = with_settings(numbered.select("dataset", "n").distinct(), settings).select(
         "dataset",
         F.coalesce("seed", F.lit(SEED)).alias("seed"),
@@ -74,7 +80,7 @@ def random_clades(pairs: DataFrame, links: DataFrame, tips: DataFrame, analyses:
         F.floor(F.col("n") * F.coalesce("max_clade_proportion", F.lit(MAX_CLADE_PROPORTION))).alias("cap"),
     )
     goal = written(goal, "goal")
-    seeds = walk_back(pairs, links, tips, analyses).join(spans, ["dataset", "clade_root"]).join(numbered.select("dataset", "tip", "no"), ["dataset", "tip"])
+    seeds = walk_back(links, tips, analyses).join(spans, ["dataset", "clade_root"]).join(numbered.select("dataset", "tip", "no"), ["dataset", "tip"])
     seeds = seeds.join(goal, "dataset").withColumn("lot", F.md5(F.concat_ws(":", F.col("seed").cast("string"), "tip")))
     order = ordinals(seeds, ["dataset"], ["lot", "tip"], "turn").select("dataset", "tip", "turn")
     seeds = written(seeds.join(order, ["dataset", "tip"]).select("dataset", "tip", "turn", "no", "clade_root", "low", "size", "cap"), "seeds")
@@ -110,7 +116,5 @@ def random_clades(pairs: DataFrame, links: DataFrame, tips: DataFrame, analyses:
         done = accepted.groupBy("dataset").agg(F.sum("added").alias("gone")).join(goal, "dataset").where("gone >= goal").count()
         if done == goal.count():
             break
-    roots = accepted.select("dataset", F.col("clade_root").alias("anc")).distinct()
-    test = pairs.join(roots, ["dataset", "anc"], "left_semi").select("dataset", "node", F.lit("test").alias("split")).distinct()
-    nodes = pairs.where("hops = 0").select("dataset", "node")
-    return nodes.join(test, ["dataset", "node"], "left").select("dataset", "node", F.coalesce("split", F.lit("train")).alias("split"))
+    test = below(nodes, accepted.select("dataset", F.col("clade_root").alias("node"))).withColumn("split", F.lit("test"))
+    return nodes.select("dataset", "node").join(test, ["dataset", "node"], "left").select("dataset", "node", F.coalesce("split", F.lit("train")).alias("split"))

@@ -23,18 +23,18 @@ class Provision:
     links: DataFrame  # parent, child, hamming, split
     splits: DataFrame  # node, split
     alignment: DataFrame  # seq_id, name, seq
-    closure: DataFrame  # node, anc, hops
     tips: DataFrame  # tip, split
 
     def frames(self) -> DataFrame:
-        return lineage.forward_frames(self.closure, self.links, self.tips, self.alignment)
+        up = lineage.closure(self.links, self.tips.withColumnRenamed("tip", "node"))
+        return lineage.forward_frames(up, self.links, self.tips, self.alignment)
 
     def train_pairs(self, limit: int, seed: int = 42) -> DataFrame:
         train = self.tips.where("split = 'train'")
         return pairs.with_sequences(pairs.pairs_within(train, "dataset", "tip", limit, seed), self.alignment)
 
     def test_pairs(self, limit: int, seed: int = 42) -> DataFrame:
-        members = written(lineage.clade_membership(self.closure, self.links, self.tips), "members")
+        members = written(lineage.clade_membership(self.links, self.tips), "members")
         return pairs.with_sequences(pairs.pairs_within_clades(members, limit, seed), self.alignment)
 
 
@@ -63,12 +63,12 @@ def provision(auspice: DataFrame, sidecars: DataFrame, analyses: DataFrame, stra
     best = branch.groupBy("dataset", F.col("name").alias("child")).agg(F.max_by(F.struct("parent", F.coalesce("n", F.lit(0)).alias("n")), "pre").alias("b"))
     counted = best.select("dataset", F.col("b.parent").alias("parent"), "child", F.col("b.n").alias("hamming"), F.lit(None).cast("string").alias("split"))
     counted = written(counted.where("parent <> child"), "counted")
-    closed = written(lineage.closure(counted), "closure")
+    ranked = lineage.placed_nodes(counted)
     tips = lineage.tips_of(counted)
     if strategy == "monophyletic":
-        splits = lineage.monophyletic_split(closed, tips, analyses, tolerance)
+        splits = lineage.monophyletic_split(ranked, tips, analyses, tolerance)
     else:
-        splits = random_clades.random_clades(closed, counted, tips, analyses)
+        splits = random_clades.random_clades(ranked, counted, tips, analyses)
     splits = written(splits, "splits")
     labelled = counted.drop("split").join(splits.withColumnRenamed("node", "child"), ["dataset", "child"], "left")
     seqs = documents.reconstructed_sequences(rows, sidecars, analyses).join(current, "record_id").join(nodes.select("record_id", "node_path", "pre"), ["record_id", "node_path"])
@@ -77,7 +77,7 @@ def provision(auspice: DataFrame, sidecars: DataFrame, analyses: DataFrame, stra
     alignment = kept.select(F.col("pre").alias("seq_id"), "dataset", clean_name("name").alias("name"), trim(strip_stops("seq"), "trim_begin", "trim_end").alias("seq"))
     alignment = written(alignment, "alignment")
     links = written(lineage.branch_hamming(labelled, alignment), "links")
-    return Provision(links, splits, alignment, closed, lineage.tips_of(links))
+    return Provision(links, splits, alignment, lineage.tips_of(links))
 
 
 def _of(spark: SparkSession, data_dir: str, strategy: str) -> Provision:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cladeflow.functions.names import clean_name, file_stem, is_tip_name, publish_prefix
 from cladeflow.functions.sequences import fasta_record, has_inner_stop, strip_stops, trim
-from cladeflow.operators import documents, hierarchy, lineage, pairs, random_clades, shards, summaries
+from cladeflow.operators import documents, lineage, pairs, random_clades, shards, summaries
 from cladeflow.operators.compaction import current_files
 from cladeflow.session import written
 from cladeflow.sources.tables import table
@@ -36,6 +36,12 @@ class Tree:
     def closure(self) -> DataFrame:
         return lineage.closure(self.links)
 
+    def nodes(self) -> DataFrame:
+        return lineage.ranked_nodes(self.links)
+
+    def placed(self) -> DataFrame:
+        return lineage.placed_nodes(self.links)
+
     def tip_closure(self) -> DataFrame:
         return lineage.closure(self.links, self.tips.withColumnRenamed("tip", "node"))
 
@@ -49,7 +55,7 @@ def tips(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def closure_depth(spark: SparkSession, data_dir: str) -> DataFrame:
-    return lineage.depths(Tree(spark, data_dir).closure())
+    return lineage.depths(Tree(spark, data_dir).links)
 
 
 def descendants(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -59,20 +65,12 @@ def descendants(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def traversal_ranks(spark: SparkSession, data_dir: str) -> DataFrame:
     """Pre- and post-order rank of every node in its tree, siblings in the order of their names."""
-    tree = Tree(spark, data_dir)
-    ids = tree.closure().where("hops = 0").select("dataset", "node")
-    numbered = written(hierarchy.dense_ids(ids, ["dataset", "node"], "id"), "ids")
-    up = numbered.toDF("dataset", "parent", "parent_id")
-    down = numbered.toDF("dataset", "child", "id")
-    links = tree.links.join(up, ["dataset", "parent"]).join(down, ["dataset", "child"]).select("id", "parent_id")
-    ranks = hierarchy.tour_ranks(numbered, written(links, "links"))
     post = F.col("entry") + F.col("size") - 1 - F.col("depth")
-    return ranks.join(numbered, "id").select("dataset", "node", F.col("entry").alias("preorder"), post.alias("postorder"))
+    return Tree(spark, data_dir).nodes().select("dataset", "node", F.col("entry").alias("preorder"), post.alias("postorder"))
 
 
 def clade_tip_count(spark: SparkSession, data_dir: str) -> DataFrame:
-    tree = Tree(spark, data_dir)
-    return lineage.clade_sizes(tree.closure(), tree.tips)
+    return lineage.clade_sizes(Tree(spark, data_dir).nodes())
 
 
 def branch_hamming(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -97,17 +95,17 @@ def branches_tsv(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def walk_back(spark: SparkSession, data_dir: str) -> DataFrame:
     tree = Tree(spark, data_dir)
-    return lineage.walk_back(tree.tip_closure(), tree.links, tree.tips, tree.table("analyses"))
+    return lineage.walk_back(tree.links, tree.tips, tree.table("analyses"))
 
 
 def monophyletic_split(spark: SparkSession, data_dir: str) -> DataFrame:
     tree = Tree(spark, data_dir)
-    return lineage.monophyletic_split(tree.closure(), tree.tips, tree.table("analyses"))
+    return lineage.monophyletic_split(tree.placed(), tree.tips, tree.table("analyses"))
 
 
 def random_clade_split(spark: SparkSession, data_dir: str) -> DataFrame:
     tree = Tree(spark, data_dir)
-    return random_clades.random_clades(tree.closure(), tree.links, tree.tips, tree.table("analyses"))
+    return random_clades.random_clades(tree.placed(), tree.links, tree.tips, tree.table("analyses"))
 
 
 def clade_roots(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -116,7 +114,7 @@ def clade_roots(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def clade_membership(spark: SparkSession, data_dir: str) -> DataFrame:
     tree = Tree(spark, data_dir)
-    return lineage.clade_membership(tree.tip_closure(), tree.links, tree.tips)
+    return lineage.clade_membership(tree.links, tree.tips)
 
 
 def forward_frames(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -150,7 +148,7 @@ def pairs_sampled(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def _clade_pairs(spark: SparkSession, data_dir: str, limit: int) -> DataFrame:
     tree = Tree(spark, data_dir)
-    members = written(lineage.clade_membership(tree.tip_closure(), tree.links, tree.tips), "members")
+    members = written(lineage.clade_membership(tree.links, tree.tips), "members")
     return pairs.with_sequences(pairs.pairs_within_clades(members, limit, SEED), tree.table("alignment"))
 
 
@@ -192,7 +190,7 @@ def summary(spark: SparkSession, data_dir: str) -> DataFrame:
     seqs = lineage.node_sequences(tree.table("alignment")).where("seq <> ''").groupBy("dataset").agg(
         F.count("*").alias("n_sequences"), F.max(F.length("seq")).alias("max_length")
     )
-    members = written(lineage.clade_membership(closed, tree.links, tree.tips), "members")
+    members = written(lineage.clade_membership(tree.links, tree.tips), "members")
     clades = members.groupBy("dataset").agg(F.count_distinct("clade_root").alias("n_test_clades"))
     test = summaries.pair_stats(pairs.with_sequences(pairs.pairs_within_clades(members, TEST_LIMIT, SEED), tree.table("alignment")), "test")
     wide = stats.join(summaries.branch_stats(tree.links), "dataset")
@@ -416,7 +414,7 @@ ORACLE = {
           left join settings a on a.analysis = regexp_replace(p.dataset, '_\\d+$', ''))
         select dataset, node as tip, coalesce(arg_min(anc, hops) filter (has_parent and gone >= back), arg_max(anc, hops)) as clade_root
         from climbed group by 1, 2""",
-    "monophyletic_split": f"""{_WALK}, goal as (select t.dataset, cast(floor(count(*) * coalesce(any_value(a.test_proportion), 0.1)) as bigint) as target from tips t
+    "monophyletic_split": f"""{_WALK}, goal as (select t.dataset, greatest(1, cast(floor(count(*) * coalesce(any_value(a.test_proportion), 0.1)) as bigint)) as target from tips t
           left join settings a on a.analysis = regexp_replace(t.dataset, '_\\d+$', '') group by 1),
         best as (select s.dataset, s.node from sizes s join goal g on g.dataset = s.dataset join walk w on w.dataset = s.dataset and w.node = s.node
           where n_tips >= target * 0.5 and n_tips <= target * 1.5

@@ -24,9 +24,9 @@ def settings(spark, **values):
 
 def test_closure_and_sizes(tree):
     links, tips, closed, _ = tree
-    assert closed.count() == sum(r.depth + 1 for r in lineage.depths(closed).collect())
-    assert {r.node: r.depth for r in lineage.depths(closed).collect()}["E"] == 4
-    sizes = {r.node: r.n_tips for r in lineage.clade_sizes(closed, tips).collect()}
+    assert closed.count() == sum(r.depth + 1 for r in lineage.depths(links).collect())
+    assert {r.node: r.depth for r in lineage.depths(links).collect()}["E"] == 4
+    sizes = {r.node: r.n_tips for r in lineage.clade_sizes(lineage.ranked_nodes(links)).collect()}
     assert sizes == {"a": 6, "b": 5, "c": 3, "d": 2, "x": 2, **dict.fromkeys("EFGHYZ", 1)}
 
 
@@ -58,21 +58,24 @@ def test_frames(tree):
 def test_walk_back(spark, tree, back, want):
     # the example counts mutations, of which masked ones are some
     links = tree[0].withColumn("hamming", F.when(F.col("child").isin("F", "G"), 1).otherwise(F.col("hamming")))
-    got = {r.tip: r.clade_root for r in lineage.walk_back(tree[2], links, tree[1], settings(spark, mutations_back=back)).collect()}
+    got = {r.tip: r.clade_root for r in lineage.walk_back(links, tree[1], settings(spark, mutations_back=back)).collect()}
     assert got == dict(zip("EFGHYZ", want))
 
 
 def test_monophyletic(spark, tree):
-    got = lineage.monophyletic_split(tree[2], tree[1], settings(spark, test_proportion=0.34)).where("split = 'test'").collect()
+    nodes = lineage.placed_nodes(tree[0])
+    got = lineage.monophyletic_split(nodes, tree[1], settings(spark, test_proportion=0.34)).where("split = 'test'").collect()
     assert {r.node for r in got} == {"d", "E", "F"}  # d and x tie, d comes first
     with pytest.raises(ValueError):
-        lineage.monophyletic_split(tree[2], tree[1], settings(spark), tolerance=-1)
+        lineage.monophyletic_split(nodes, tree[1], settings(spark), tolerance=-1)
+    few = lineage.monophyletic_split(nodes, tree[1], settings(spark, test_proportion=0.01)).where("split = 'test'").collect()
+    assert [r.node for r in few] == ["H"]  # at least one tip, the first in pre-order by names
 
 
 def test_clades_and_pairs(tree):
     links, tips, closed, alignment = tree
     assert [r.clade_root for r in lineage.clade_roots(links).collect()] == ["x"]
-    members = lineage.clade_membership(closed, links, tips)
+    members = lineage.clade_membership(links, tips)
     assert {(r.tip, r.clade_root) for r in members.collect()} == {("Y", "x"), ("Z", "x")}
     train = pairs.with_sequences(pairs.pairs_within(tips.where("split = 'train'"), "dataset", "tip", 100), alignment)
     got = {frozenset((r.tip1, r.tip2)): r.hamming for r in train.collect()}
@@ -92,6 +95,12 @@ def test_cycles_dirt_and_empty(spark):
     assert summaries.branch_stats(links).first().n_missing == 1
     empty = lineage.tree_links(spark.createDataFrame([], BRANCH_SCHEMA))
     assert lineage.closure(empty).count() == 0 and lineage.tips_of(empty).count() == 0
+    assert lineage.ranked_nodes(empty).count() == lineage.depths(empty).count() == lineage.clade_membership(empty, lineage.tips_of(empty)).count() == 0
+    assert lineage.walk_back(empty, lineage.tips_of(empty), settings(spark)).count() == 0
+    for made in (lineage.depths(links), lineage.ranked_nodes(links)):
+        assert {r.node for r in made.collect()} == set(SEQUENCES)
+    walked = lineage.walk_back(links, lineage.tips_of(links), settings(spark)).collect()
+    assert {r.tip for r in walked} == set("EFGHYZ")
     assert pairs.pairs_within(lineage.tips_of(empty), "dataset", "tip", 5).count() == 0
 
 
@@ -153,8 +162,8 @@ def test_random_clades_against_naive(spark, seed):
     want = naive_random_clades(children, parent, distance, tips, order, 0.3, 2, 0.4)
     links = lineage.tree_links(spark.createDataFrame(rows, BRANCH_SCHEMA))
     cfg = settings(spark, test_proportion=0.3, mutations_back=2, max_clade_proportion=0.4, seed=seed)
-    closed = lineage.closure(links).cache()
-    got = random_clades.random_clades(closed, links, lineage.tips_of(links), cfg, chunk=4096 if seed else 7)
+    nodes = lineage.placed_nodes(links)
+    got = random_clades.random_clades(nodes, links, lineage.tips_of(links), cfg, chunk=4096 if seed else 7)
     assert {r.node for r in got.where("split = 'test'").collect()} == want
 
 
@@ -186,6 +195,25 @@ def test_upsert(spark):
 
 
 def test_splits_are_closed_under_descendants(spark, tree):
-    split = random_clades.random_clades(tree[2], tree[0], tree[1], settings(spark, test_proportion=0.5, mutations_back=1, max_clade_proportion=0.5))
+    split = random_clades.random_clades(lineage.placed_nodes(tree[0]), tree[0], tree[1], settings(spark, test_proportion=0.5, mutations_back=1, max_clade_proportion=0.5))
     test = {r.node for r in split.where("split = 'test'").collect()}
     assert test and {r.node for r in tree[2].collect() if r.anc in test} == test
+
+
+def test_settings_out_of_range(spark, tree):
+    for wrong in ({"test_proportion": 1.5}, {"max_clade_proportion": -0.1}, {"mutations_back": -1}):
+        with pytest.raises(Exception, match="out of range"):
+            random_clades.random_clades(lineage.placed_nodes(tree[0]), tree[0], tree[1], settings(spark, **wrong)).collect()
+
+
+def test_deep_ladder(spark):
+    """A ladder of 20,000 nodes: everything but whole paths stays near its number of rows."""
+    n = 20_000
+    links = spark.range(n).selectExpr("'t_1' as dataset", "format_string('n%06d', id) as parent", "format_string('n%06d', id + 1) as child", "1 as hamming", "'test' as split")
+    nodes = lineage.ranked_nodes(links)
+    got = nodes.agg(F.max("depth"), F.sum("size"), F.max("n_leaves")).first()
+    assert tuple(got) == (n, (n + 1) * (n + 2) // 2, 1)
+    assert lineage.depths(links).agg(F.max("depth")).first()[0] == n
+    tips = lineage.tips_of(links)
+    assert lineage.walk_back(links, tips, settings(spark, mutations_back=15_000)).first().clade_root == "n005001"
+    assert lineage.clade_membership(links, tips).first().clade_root == "n000001"
