@@ -2,20 +2,29 @@
 
 Unit is the word with characters outside ASCII, as garbling may hit a line, a name or part of a line.
 
-1. Every distinct word is read back under each hypothesis (written in W, read as R; for UTF-8 also
-   repeatedly). The result keeps the word's ASCII characters in place.
-2. Words and readings are joined on the text stripped of non-ASCII characters; where the aligned runs in between
-   agree as well, the reading has a clean near-twin in the corpus. A hypothesis that twins confirm
-   is learned, with the character sequences that the alignment maps to one another.
-3. Learned hypotheses and sequences apply to the words without a twin; words of legacy encodings need a twin.
+1. Twins. Lines and words are joined on their text stripped of non-ASCII characters (a mark stands where a run of them was):
+   every variant of a stripped text with the variant that most documents hold. Clean copies of a
+   garbled line or word are found this way whatever happened to it.
+2. Alignment. The runs of two twins are aligned character by character: a clean character stands against as many garbled ones
+   as it has bytes, or the runs against each other where the reader's own characters are wide. A pair of encodings that
+   accounts for all aligned runs is the name of the transformation; it is learned if it accounts for a sufficient share of the
+   twins that it could be applied to, and with it the aligned sequences. Words without ASCII letters have nothing left when stripped; they
+   are twins of the words that they read as. Nothing is learned of encodings without twins.
+3. The learned transformations are applied to all remaining words, again and again until a reading changes nothing. A reading
+   holds if its result is a word of the corpus, or if each of its characters was aligned so with a twin or is at least as often
+   seen outside such readings as in them.
+4. Older encodings read as one another keep the length of words, so any two words may look like twins. Their
+   transformations are learned from whole words: those whose reading under a hypothesis is a word of the corpus, more often than chance has it.
 
 Characters of two bytes may hold ASCII punctuation when read as single ones. Such stretches are units beside the words.
 
-Only distinct words are compared, by equality joins: no pairs within a group are built.
+Every variant meets one representative of its stripped text, and readings meet words by equality: no pairs within a
+group are built.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -27,7 +36,7 @@ from pyspark.sql import functions as F
 
 from cladeflow.session import spread, written
 
-# The encodings that hypotheses are made of.
+# Encodings, the names that learned transformations can have.
 UTF8_READERS = [
     "cp1252", "latin-1", "mac-roman", "cp1250", "cp1251", "cp1253", "cp1254", "cp1257", "cp1258", "iso8859-2", "iso8859-5",
     "iso8859-7", "iso8859-9", "iso8859-15", "koi8-r", "koi8-u", "cp437", "cp850", "cp852", "cp866", "gbk", "big5", "cp932", "cp949",
@@ -40,10 +49,12 @@ LEGACY_WRITERS = [
 ]
 LEGACY_READERS = ["cp1252", "mac-roman", "cp1250", "iso8859-2", "cp1251", "koi8-r", "cp437", "cp850", "cp866", "gbk"]
 
-#: How often UTF-8 may have been read wrongly in a row.
-REPEATS = 4
-#: Distinct words that must confirm a hypothesis before it applies to words without a twin.
-SUPPORT = 2
+#: Share of the twins that a transformation applies to which it must account for.
+LEARNED_SHARE = 0.25
+#: ASCII letters that a stripped line or word must hold to tell twins from other texts.
+LINE_LETTERS, WORD_LETTERS = 4, 2
+#: Standard deviations by which words that confirm a legacy hypothesis must exceed the number that chance has.
+DEVIATIONS = 3
 #: Letters of a legacy word that its twin must have, where its hypothesis and the frequencies decide.
 LEGACY_LETTERS = 3
 #: Characters outside ASCII (of the word or its reading) from which a twin counts by itself: chance meets no such word.
@@ -56,6 +67,7 @@ _SEQUENCE = re.compile(
     rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}"
 )
 _LOST = "�"
+_MARK = "\x01"
 _STRETCH = re.compile(r"[^\x00-\x7f][^\x00-\x3f\x7f]*")
 _TRAIL = r"[@\[-`{-~]"
 _HAS_TRAIL = re.compile(_TRAIL)
@@ -252,10 +264,10 @@ def _readings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if _HAS_TRAIL.search(word):
                 rows += [(word, "legacy", via, restored, [], twin, *_weight(word, restored)) for via, restored, twin in stretch_readings(word)]
                 continue
-            front, seen = [(word, "", [])], {word}
-            for _ in range(REPEATS):
+            front, seen = [(word, "")], {word}
+            while front:
                 behind = []
-                for text, chain, _ in front:
+                for text, chain in front:
                     for reader in UTF8_READERS:
                         found = utf8_reading(text, reader)
                         if found is None:
@@ -265,7 +277,7 @@ def _readings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         rows.append((word, "utf8" if whole else "lossy", via, restored, [{"g": g, "c": c} for g, c in pairs], restored, 0, 0))
                         if restored not in seen:
                             seen.add(restored)
-                            behind.append((restored, via, pairs))
+                            behind.append((restored, via))
                 front = behind
             if len(seen) == 1 and _LOST not in word:
                 rows += [(word, "legacy", via, restored, [], restored, *_weight(word, restored)) for via, restored in legacy_readings(word)]
@@ -275,47 +287,123 @@ def _readings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
 
+def stripped_lines(text: str) -> set[tuple[str, tuple[str, ...]]]:
+    """(digest of the line with a mark for each run of non-ASCII characters, the runs) of the lines that can have twins.
+
+    What a diff puts in front of a line, and blanks around it, don't count.
+    """
+    found = set()
+    for line in [] if text.isascii() else text.split("\n"):
+        if not line.isascii():
+            bare = _RUN.sub(_MARK, line.strip("+- \t\r"))
+            if sum(c.isascii() and c.isalpha() for c in bare) >= LINE_LETTERS:
+                found.add((hashlib.blake2b(bare.encode(), digest_size=16).hexdigest(), tuple(_RUN.findall(line))))
+    return found
+
+
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A document's distinct words, and its lines' stripped digests and runs, one row each."""
     for batch in batches:
-        keys, words = [], []
+        keys, words, lines, runs = [], [], [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py()
             if text:
-                found = sorted(words_of(text) | stretches_of(text))
-                keys += [key] * len(found)
-                words += found
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(words, pa.string())], ["doc_id", "word"])
+                found, twins = sorted(words_of(text) | stretches_of(text)), sorted(stripped_lines(text))
+                keys += [key] * (len(found) + len(twins))
+                words += found + [None] * len(twins)
+                lines += [None] * len(found) + [digest for digest, _ in twins]
+                runs += [None] * len(found) + [list(r) for _, r in twins]
+        columns = [pa.array(keys, pa.int64()), pa.array(words, pa.string()), pa.array(lines, pa.string()), pa.array(runs, pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "word", "line", "runs"])
+
+
+def aligned(garbled: list[str], clean: list[str]) -> Iterator[tuple[str, bool, list[tuple[str, str]]]]:
+    """(transformation, whether it accounts for the twins, aligned sequences) for all that apply to the runs of two twins.
+
+    A transformation applies if it can be undone on every run that differs, and accounts for the twins if this gives the clean
+    runs. `lost` is the one that leaves U+FFFD in place of characters.
+    """
+    differing = [(g, c) for g, c in zip(garbled, clean) if g != c]
+    if len(garbled) != len(clean) or not differing:
+        return
+    if all(_LOST in g for g, _ in differing):
+        fits = all(_LOST not in c and re.fullmatch(re.escape(g).replace(_LOST, ".{1,4}"), c) for g, c in differing)
+        yield "lost", bool(fits), []
+        return
+    by_bytes = all(len(g) == len(c.encode()) for g, c in differing)
+    for reader in UTF8_READERS:
+        undone = [utf8_reading(g, reader) for g, _ in differing]
+        if all(undone):
+            fits = (by_bytes or reader in WIDE) and all(u[0] == c for u, (_, c) in zip(undone, differing))
+            yield reader, fits, [p for u in undone for p in u[1]] if fits else []
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pairs = pa.list_(pa.struct([("g", pa.string()), ("c", pa.string())]))
+    for batch in batches:
+        via, fits, seqs = [], [], []
+        for one, other in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for garbled, clean in ((one, other), (other, one)):
+                for name, fit, found in aligned(garbled, clean):
+                    via.append(name)
+                    fits.append(fit)
+                    seqs.append([{"g": g, "c": c} for g, c in found])
+        yield pa.RecordBatch.from_arrays([pa.array(via, pa.string()), pa.array(fits, pa.bool_()), pa.array(seqs, pairs)], ["via", "fits", "pairs"])
+
+
+def learned_transformations(units: DataFrame) -> tuple[list[str], DataFrame]:
+    """(names, sequences g, c): what the twins among the units (key, runs, df) show.
+
+    The names are those of fixed encodings, so there are few, whatever the corpus.
+    """
+    most = units.groupBy("key").agg(F.max_by("runs", F.struct("df", "runs")).alias("rep"), F.count("*").alias("n")).where("n > 1").select("key", "rep")
+    twins = units.join(most.hint("merge"), "key").where("runs <> rep").select("runs", "rep")
+    shown = written(spread(twins, "runs").mapInArrow(_compared, "via string, fits boolean, pairs array<struct<g:string,c:string>>"), "shown")
+    shares = shown.groupBy("via").agg(F.avg(F.col("fits").cast("double")).alias("share")).where(F.col("share") >= LEARNED_SHARE)
+    names = sorted(r.via for r in shares.collect())
+    return names, shown.where(F.col("fits") & F.col("via").isin(names)).select(F.explode("pairs").alias("p")).select("p.g", "p.c").distinct()
 
 
 def garbled_words(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, word) of all documents, and the garbled words: word, kind, via, restored (null where lost).
 
     kind: utf8 (UTF-8 read as something else, once or repeatedly), legacy (one older encoding read as
-    another), lossy (characters replaced by U+FFFD), control (C1 controls within a word, of unknown origin).
+    another), lossy (characters replaced by U+FFFD).
     """
     # tables of words shrink to a fraction on disk; joins of two of them must not count on their file size
     grown = lambda df: df.hint("merge")
     texts = documents.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
-    links = written(texts.mapInArrow(_extracted, "doc_id long, word string"), "words")
+    found = written(texts.mapInArrow(_extracted, "doc_id long, word string, line string, runs array<string>"), "words")
+    links = found.where("word is not null").select("doc_id", "word")
     units = written(links.groupBy("word").agg(F.count_distinct("doc_id").alias("df")), "lexicon")
-    schema = "word string, kind string, via string, restored string, pairs array<struct<g:string,c:string>>, twin string, changed int, gain int"
-    readings = written(spread(units.select("word"), "word").mapInArrow(_readings, schema).join(grown(units), "word"), "readings")
     lexicon = units.where(~F.regexp_like("word", F.lit(_TRAIL)))
 
-    bare = lambda c: F.regexp_replace(c, r"[^\x00-\x7f]+", "")
-    twins = lexicon.select(bare("word").alias("bare"), F.col("word").alias("twin"), F.col("df").alias("twin_df"))
-    joined = written(readings.withColumn("bare", bare("twin")).join(grown(twins), ["bare", "twin"], "left").drop("bare", "twin"), "joined")
-    structural = joined.where("kind in ('utf8', 'lossy')")
+    runs = F.regexp_extract_all("word", F.lit(r"([^\x00-\x7f]+)"), F.lit(1))
+    bare = F.regexp_replace("word", r"[^\x00-\x7f]+", _MARK)
+    in_words = lexicon.where(F.regexp_like("word", F.lit("([A-Za-z].*){%d}" % WORD_LETTERS))).select(F.concat(F.lit("word "), bare).alias("key"), runs.alias("runs"), "df")
+    in_lines = found.where("line is not null").groupBy(F.col("line").alias("key"), "runs").agg(F.count_distinct("doc_id").alias("df"))
+    names, sequences = learned_transformations(in_words.unionByName(in_lines))
+
+    schema = "word string, kind string, via string, restored string, pairs array<struct<g:string,c:string>>, twin string, changed int, gain int"
+    readings = written(spread(units.select("word"), "word").mapInArrow(_readings, schema).join(grown(units), "word"), "readings")
+    clean = lexicon.select(F.col("word").alias("twin"), F.col("df").alias("twin_df"))
+    joined = written(readings.join(grown(clean), "twin", "left").drop("twin"), "joined")
+    once = joined.where(F.col("kind").isin("utf8") & ~F.contains("via", F.lit("|"))).groupBy("via").agg(F.count("twin_df").alias("n"), F.count("*").alias("tries"))
+    by_words = [r.via.removeprefix("utf-8>") for r in once.where(F.col("n") >= F.col("tries") * LEARNED_SHARE).collect()]  # no more than there are names
+    steps = F.split(F.regexp_replace("via", "^utf-8>", ""), r"\|")
+    learned = F.size(F.array_except(steps, F.array(*[F.lit(n) for n in sorted({*names, *by_words})]).cast("array<string>"))) == 0
+    structural = joined.where(F.col("kind").isin("utf8", "lossy") & learned)
     confirmed = structural.where("twin_df is not null and kind = 'utf8'")
-    learned = confirmed.groupBy("via").agg(F.count_distinct("word").alias("support")).where(F.col("support") >= SUPPORT).select("via")
-    mapped = confirmed.select(F.explode("pairs").alias("p")).select("p.g", "p.c").distinct()
+    mapped = sequences.unionByName(confirmed.select(F.explode("pairs").alias("p")).select("p.g", "p.c")).distinct()
 
-    # characters of words that no reading applies to: the corpus's own alphabet
+    # characters that are the corpus's own: seen in words that no reading applies to, at least as often as in readings
+    characters = lambda c: F.explode(F.array_distinct(F.split(F.regexp_replace(c, r"[\x00-\x7f]+", ""), ""))).alias("c")
     plain = lexicon.join(grown(structural.select("word").distinct()), "word", "left_anti")
-    alphabet = plain.select(F.explode(F.array_distinct(F.split(F.regexp_replace("word", r"[\x00-\x7f]+", ""), ""))).alias("c"), "df")
-    alphabet = alphabet.groupBy("c").agg(F.sum("df").alias("n")).where("n >= 2").select("c")
+    alone = structural.where("twin_df is null")
+    read = alone.select("word", "df", characters("restored")).distinct().groupBy("c").agg(F.sum("df").alias("n_read"))
+    alphabet = plain.select(characters("word"), "df").groupBy("c").agg(F.sum("df").alias("n_plain"))
+    alphabet = alphabet.join(read, "c").where("n_plain >= n_read").select("c")
 
-    alone = structural.where("twin_df is null").join(learned, "via", "left_semi")
     spelled = alone.select("word", "kind", "via", "restored", F.posexplode("pairs").alias("no", "p"))
     known = (
         spelled.select("word", "kind", "via", "restored", "no", F.col("p.g").alias("g"), F.col("p.c").alias("c"))
@@ -332,9 +420,14 @@ def garbled_words(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     # frequencies and other words that confirm the hypothesis, in the corpus or in all documents of the word
     twinned = joined.where("kind = 'legacy' and twin_df is not null").select("word", "via", "restored", "df", "twin_df", "changed", "gain")
     rarer = F.col("twin_df") > F.col("df")
-    usual = twinned.where(rarer & (F.length("restored") >= LEGACY_LETTERS))
-    support = usual.groupBy("via").agg(F.count_distinct("word").alias("support")).where(F.col("support") >= SUPPORT)
-    by_hypothesis = F.col("support").isNotNull() & rarer & (F.length("restored") >= LEGACY_LETTERS)
+    usual = rarer & (F.length("restored") >= LEGACY_LETTERS)
+    tried = joined.where("kind = 'legacy'").groupBy("via").agg(
+        F.count_distinct("word").alias("tries"), F.count_distinct(F.when(usual, F.col("word"))).alias("support")
+    )
+    chance = F.col("tries") * F.col("support_all") / F.col("tries_all")
+    whole = tried.agg(F.sum("tries").alias("tries_all"), F.sum("support").alias("support_all"))
+    support = tried.crossJoin(F.broadcast(whole)).where((F.col("support") > 1) & (F.col("support") > chance + DEVIATIONS * F.sqrt(chance))).select("via", "support")
+    by_hypothesis = F.col("support").isNotNull() & usual
     by_itself = (F.col("changed") >= LONG) & ((F.col("gain") > 0) | ((F.col("gain") == 0) & rarer))
     judged = written(twinned.join(support, "via", "left").withColumn("ok", by_hypothesis | by_itself), "judged")
     proven = judged.where("ok").select("word", "via", "restored", "twin_df")
@@ -345,16 +438,15 @@ def garbled_words(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     other = other.groupBy("word", "via", "restored", "df", "twin_df").agg(F.count("*").alias("n")).where("n = df").select(proven.columns)
     legacy = proven.unionByName(other).select("word", F.lit("legacy").alias("kind"), "via", "restored", F.lit(1).alias("twin"), "twin_df")
 
-    lost = lexicon.where(F.regexp_like("word", F.lit(r"[\p{L}]�|�[\p{L}]")))
+    # learned like the others: where twins have letters, U+FFFD beside letters stands for one
+    lost = lexicon.where(F.regexp_like("word", F.lit(r"[\p{L}]�|�[\p{L}]")) & F.lit("lost" in names))
     shape = lambda c: F.regexp_replace(c, r"[^\x00-\x7f]", _LOST)
-    whole = lexicon.where(~F.contains("word", F.lit(_LOST))).groupBy(shape("word").alias("shape")).agg(F.max_by("word", "df").alias("restored"))
+    full = lexicon.where(~F.contains("word", F.lit(_LOST))).groupBy(shape("word").alias("shape")).agg(F.max_by("word", "df").alias("restored"))
     only = ~F.regexp_like("word", F.lit(r"[^\x00-\x7f�]"))  # else what is left of the word isn't its text
-    lost = lost.withColumn("shape", F.when(only, shape("word"))).join(whole, "shape", "left")
+    lost = lost.withColumn("shape", F.when(only, shape("word"))).join(full, "shape", "left")
     lost = lost.select("word", F.lit("lossy").alias("kind"), F.lit("lost").alias("via"), "restored", F.lit(0).alias("twin"))
-    control = lexicon.where(F.regexp_like("word", F.lit(r"[\x{80}-\x{84}\x{86}-\x{9f}]")) & (F.length("word") > 1))
-    control = control.select("word", F.lit("control").alias("kind"), F.lit("unknown").alias("via"), F.lit(None).cast("string").alias("restored"), F.lit(0).alias("twin"))
 
-    every = utf8.unionByName(legacy, True).unionByName(lost, True).unionByName(control, True)
+    every = utf8.unionByName(legacy, True).unionByName(lost, True)
     order = F.struct(
         F.col("restored").isNotNull(), "twin", F.when(F.col("kind") == "utf8", 2).when(F.col("kind") == "legacy", 1).otherwise(0), F.coalesce("twin_df", F.lit(0)), -F.length("restored"), "via"
     )

@@ -64,6 +64,32 @@ def test_readings():
     assert mojibake.words_of("plain") == set() and mojibake.words_of("a für(été)ß") == {"für", "été", "ß"}
 
 
+def test_alignment():
+    shown = {name: fits for name, fits, _ in mojibake.aligned(["Ã¼", "x"], ["ü", "x"])}
+    assert shown["cp1252"] and shown["latin-1"]
+    assert not any(fits for _, fits, _ in mojibake.aligned(["Ã¼"], ["ö"]))
+    assert [t for t in mojibake.aligned(["а�"], ["аб"])] == [("lost", True, [])]
+    assert list(mojibake.aligned(["a"], ["a"])) == [] and list(mojibake.aligned(["Ã¼"], ["ü", "é"])) == []
+    one, other = mojibake.stripped_lines("+  // prÃ¼fen Sie\n"), mojibake.stripped_lines("   // prüfen Sie\r\nnur ü")
+    assert {d for d, _ in one} == {d for d, _ in other} and {r for _, r in other} == {("ü",)}
+
+
+def test_nothing_learned_without_twins(spark):
+    rows = [(1, "plain"), (2, "Ã¼"), (3, "grün")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert mojibake.garbled_documents(df).count() == 0
+    both = df.unionByName(spark.createDataFrame([(4, "so grÃ¼n wie Gras"), (5, "so grün wie Gras")], "doc_id long, text string"))
+    assert {r.doc_id for r in mojibake.garbled_documents(both).collect()} == {2, 4}  # what the twins show holds for others
+
+
+def test_garbled_five_times(spark):
+    text = clean = "Überprüft die Größe der Schlüssel"
+    for _ in range(6):
+        text = garble(text, "utf-8", "latin-1")
+    df = spark.createDataFrame([(1, text), (2, clean), (3, clean), (4, garble(clean, "utf-8", "latin-1"))], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in mojibake.restored_documents(df).collect()} == {1: clean, 4: clean}
+
+
 def test_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert mojibake.garbled_documents(empty).count() == 0 and mojibake.restored_documents(empty).count() == 0
