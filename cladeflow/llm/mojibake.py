@@ -326,10 +326,9 @@ def aligned(garbled: list[str], clean: list[str]) -> Iterator[tuple[str, bool, l
     differing = [(g, c) for g, c in zip(garbled, clean) if g != c]
     if len(garbled) != len(clean) or not differing:
         return
-    if all(_LOST in g for g, _ in differing):
+    if all(_LOST in g and set(g) <= {_LOST, *c} for g, c in differing):
         fits = all(_LOST not in c and re.fullmatch(re.escape(g).replace(_LOST, ".{1,4}"), c) for g, c in differing)
         yield "lost", bool(fits), []
-        return
     by_bytes = all(len(g) == len(c.encode()) for g, c in differing)
     for reader in UTF8_READERS:
         undone = [utf8_reading(g, reader) for g, _ in differing]
