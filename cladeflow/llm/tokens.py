@@ -28,6 +28,8 @@ TOKENIZER_DIR = "/opt/tokenizers"
 TOKENIZER = "byte_bpe_50k"
 #: Characters of one block; bounds a worker's memory.
 BLOCK_CHARS = 3_000_000
+#: Blocks whose common words go to one task.
+WORD_BLOCKS = 4096
 
 # The pre-token pattern of the byte-level vocabularies is
 # 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
@@ -139,23 +141,37 @@ def split_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return counts.astype(np.int32), number.astype(np.int32), words
 
 
-def load_tokenizer(directory: str, name: str):
+def rank_file(directory: str, name: str) -> bytes:
+    with open(os.path.join(directory, f"{name}.tiktoken"), "rb") as lines:
+        return lines.read()
+
+
+def ranks_of(raw: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
+
+
+def load_tokenizer(raw: bytes, name: str):
     """The tiktoken encoding of a rank file, once a worker."""
     import tiktoken
 
-    key = (directory, name)
+    key = (name, hash(raw))
     if key not in _state:
-        with open(os.path.join(directory, f"{name}.tiktoken"), "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        _state[key] = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        _state[key] = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks_of(raw), special_tokens={})
     return _state[key]
 
 
+def shipped(df: DataFrame, directory: str, name: str):
+    """The rank file as the driver has it, broadcast to the workers: its size is fixed, and they need no copy of their own."""
+    return df.sparkSession.sparkContext.broadcast(rank_file(directory, name))
+
+
 def token_bytes(spark: SparkSession, directory: str = TOKENIZER_DIR, name: str = TOKENIZER) -> DataFrame:
-    """The vocabulary as a table (id, bytes): 50,256 rows, the size of the file."""
-    with open(os.path.join(directory, f"{name}.tiktoken"), "rb") as lines:
-        rows = [(int(b), base64.b64decode(a)) for a, b in map(bytes.split, lines)]
-    return spark.createDataFrame(pd.DataFrame(rows, columns=["id", "bytes"]), "id int, bytes binary")
+    """The token-byte table as one row, `tokens`: the bytes of id 0, 1, ... in hexadecimal digits; null for unused ids."""
+    ranks = ranks_of(rank_file(directory, name))
+    tokens: list[str | None] = [None] * (max(ranks.values()) + 1)
+    for raw, token in ranks.items():
+        tokens[token] = raw.hex()
+    return spark.createDataFrame([(tokens,)], "tokens array<string>")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,46 +237,53 @@ def encode_corpus(
     Empty and null texts have an empty list; the spelling of a special token is plain text. Repeated
     rows are encoded each; rows with a null id are left out. Other columns are ignored. An empty table
     gives no rows; a text of any length is encoded whole, in a block of its own beyond BLOCK_CHARS.
+
+    Both shuffles have as many partitions as there are blocks, so a task's share stays the same whatever the corpus. A word in every
+    block has one row a block; beyond WORD_BLOCKS blocks it is split by groups of blocks, and encoded once in each.
     """
+    file = shipped(documents, directory, name)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = load_tokenizer(directory, name).encode_ordinary
+        ids_of = load_tokenizer(file.value, name).encode_ordinary
         for batch in batches:
             ids = [np.array(ids_of(w), np.int32).tobytes() for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["word", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], ["word", "part", "ids"])
 
     texts = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).where("doc_id is not null")
     blocks = written(
         texts.mapInArrow(_cut, "block string, keys binary, counts binary, numbers binary, words array<string>"), "blocks"
     )
-    words = blocks.select("block", F.posexplode("words").alias("no", "word"))
-    encoded = words.select("word").distinct().mapInArrow(encode, "word string, ids binary")
-    entries = words.join(encoded, "word").groupBy("block").agg(F.collect_list(F.struct("no", "ids")).alias("entries"))
-    whole = blocks.select("block", "keys", "counts", "numbers").join(entries, "block", "left")
+    n = max(1, blocks.count())
+    part = F.pmod(F.xxhash64("block"), F.lit(-(-n // WORD_BLOCKS))).cast("int").alias("part")
+    words = blocks.select("block", part, F.posexplode("words").alias("no", "word")).repartition(n, "word", "part")
+    encoded = words.select("word", "part").distinct().mapInArrow(encode, "word string, part int, ids binary").repartition(n, "word", "part")
+    entries = words.join(encoded, ["word", "part"]).select("block", "no", "ids").repartition(n, "block")
+    entries = entries.groupBy("block").agg(F.collect_list(F.struct("no", "ids")).alias("entries"))
+    whole = blocks.select("block", "keys", "counts", "numbers").repartition(n, "block").join(entries, "block", "left")
     return whole.select("keys", "counts", "numbers", F.coalesce("entries", F.array().cast("array<struct<no:int,ids:binary>>")).alias("entries")).mapInArrow(
         _joined, "doc_id long, ids array<int>"
     )
 
 
 def decode_corpus(encoded: DataFrame, directory: str = TOKENIZER_DIR, name: str = TOKENIZER) -> DataFrame:
-    """doc_id, text from doc_id, ids: positions are exploded and joined with the token-byte table.
+    """doc_id, text from doc_id, ids: every row is joined with the token-byte table, one row of the vocabulary's size.
 
-    An empty list gives the empty text. Bytes that are no UTF-8 become U+FFFD.
+    An empty or null list gives the empty text; unknown ids add nothing. Bytes that are no UTF-8 become U+FFFD.
     """
-    vocabulary = F.broadcast(token_bytes(encoded.sparkSession, directory, name))
-    at = encoded.select("doc_id", F.posexplode("ids").alias("no", "id"))
-    parts = at.join(vocabulary, "id").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("no", F.hex("bytes").alias("h")))).alias("parts"))
-    whole = encoded.select("doc_id").join(parts, "doc_id", "left")
-    return whole.select("doc_id", F.decode(F.unhex(F.coalesce(F.array_join(F.transform("parts", lambda p: p["h"]), ""), F.lit(""))), "UTF-8").alias("text"))
+    table = F.broadcast(token_bytes(encoded.sparkSession, directory, name))
+    parts = F.transform("ids", lambda i: F.coalesce(F.get("tokens", i), F.lit("")))
+    text = F.make_valid_utf8(F.unhex(F.array_join(parts, "")).cast("string"))
+    return encoded.crossJoin(table).select("doc_id", F.coalesce(text, F.lit("")).alias("text"))
 
 
 def token_counts(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", directory: str = TOKENIZER_DIR, name: str = TOKENIZER
 ) -> DataFrame:
     """doc_id, n_tokens of every text; 0 for empty and null texts."""
+    file = shipped(documents, directory, name)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = load_tokenizer(directory, name).encode_ordinary
+        ids_of = load_tokenizer(file.value, name).encode_ordinary
         for batch in batches:
             n = [len(ids_of(t)) if t else 0 for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
