@@ -9,8 +9,7 @@ which is packed like any item.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +18,8 @@ from cladeflow.session import written
 
 #: Items that one task packs, about.
 SHARD_ITEMS = 25_000
+#: Partitions that the groups are hashed into, at least.
+PARTITIONS = 64
 
 ASSIGNED = "container_name string, capacity long, shard int, bin_no long, doc_id long, piece_no int, n_pieces int, start long, size long"
 
@@ -101,16 +102,19 @@ def pack(items: DataFrame, containers: DataFrame, shard_items: int = SHARD_ITEMS
         out["piece_no"] = out.groupby(["doc_id", pdf.index.repeat(pieces)]).cumcount()
         out["start"] = out.piece_no * capacity
         out["size"] = (out.whole - out.start).clip(upper=capacity)
-        partial = out.index[(out["size"] > 0) & (out["size"] < capacity)]
-        bins = best_two_fit(out["size"].loc[partial].tolist(), capacity)
-        out["bin_no"] = 0
+        partial = np.flatnonzero((out["size"] > 0) & (out["size"] < capacity))
+        bins = best_two_fit(out["size"].to_numpy()[partial].tolist(), capacity)
+        bin_no = np.zeros(len(out), np.int64)
         for no, packed in enumerate(bins):
-            out.loc[partial[packed], "bin_no"] = no
-        full = out["size"] == capacity
-        out.loc[full, "bin_no"] = range(len(bins), len(bins) + int(full.sum()))
+            bin_no[partial[packed]] = no
+        full = (out["size"] == capacity).to_numpy()
+        bin_no[full] = np.arange(len(bins), len(bins) + full.sum())
+        out["bin_no"] = bin_no
         return out[[c.split()[0] for c in ASSIGNED.split(", ")]]
 
-    packed = each.groupBy("container_name", "capacity", "shard").applyInPandas(run, ASSIGNED)
+    # a shard's items are few bytes but much work: runtime merging by size must leave the groups apart
+    key = ["container_name", "capacity", "shard"]
+    packed = each.repartition(max(PARTITIONS, 4 * shards), *key).groupBy(*key).applyInPandas(run, ASSIGNED)
     return packed.select(
         "container_name", "capacity", F.format_string("%d-%d", "shard", "bin_no").alias("bin_id"), "doc_id", "piece_no", "n_pieces", "start", "size"
     )
