@@ -126,6 +126,12 @@ def _bytes(run: str, reader: str) -> bytes | None:
     return bytes(out)
 
 
+@lru_cache(64)
+def _leads(reader: str) -> frozenset[str]:
+    """The characters that a reader of single bytes makes of the first bytes of UTF-8 sequences."""
+    return frozenset(bytes([b]).decode(reader, "ignore") or chr(b) for b in range(0xC2, 0xF5))
+
+
 def utf8_reading(word: str, reader: str) -> tuple[str, list[tuple[str, str]], bool] | None:
     """(restored word, [(garbled sequence, character)], whole) if the word is UTF-8 text seen through the reader.
 
@@ -143,6 +149,8 @@ def utf8_reading(word: str, reader: str) -> tuple[str, list[tuple[str, str]], bo
                 restored.append(_LOST)
             if not part:
                 continue
+            if len(parts) == 1 and reader not in WIDE and part[0] not in _leads(reader):
+                return None
             raw = _bytes(part, reader)
             if raw is None:
                 return None
@@ -317,6 +325,11 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "word", "line", "runs"])
 
 
+@lru_cache(1 << 16)
+def _run_reading(run: str, reader: str):
+    return utf8_reading(run, reader)
+
+
 def aligned(garbled: list[str], clean: list[str]) -> Iterator[tuple[str, bool, list[tuple[str, str]]]]:
     """(transformation, whether it accounts for the twins, aligned sequences) for all that apply to the runs of two twins.
 
@@ -331,8 +344,12 @@ def aligned(garbled: list[str], clean: list[str]) -> Iterator[tuple[str, bool, l
         yield "lost", bool(fits), []
     by_bytes = all(len(g) == len(c.encode()) for g, c in differing)
     for reader in UTF8_READERS:
-        undone = [utf8_reading(g, reader) for g, _ in differing]
-        if all(undone):
+        undone = []
+        for g, _ in differing:
+            undone.append(_run_reading(g, reader))
+            if undone[-1] is None:
+                break
+        else:
             fits = (by_bytes or reader in WIDE) and all(u[0] == c for u, (_, c) in zip(undone, differing))
             yield reader, fits, [p for u in undone for p in u[1]] if fits else []
 
