@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cladeflow.functions.names import clean_name, is_tip_name, label, split_of
-from cladeflow.session import fresh_path, remove, written_at
+from cladeflow.functions.names import clean_name, is_tip_name, label
+from cladeflow.llm.overlap import node_splits
+from cladeflow.session import Steps
 
 #: Of the nodes with neighbours one in so many starts a search at once.
 SEED_EVERY = 8
@@ -20,20 +21,6 @@ SEED_EVERY = 8
 SLICES = 4096
 
 
-class _Slots:
-    def __init__(self, spark, name: str) -> None:
-        self.spark, self.root, self.n, self.held = spark, fresh_path(spark, name), 0, {}
-
-    def put(self, slot: str, df: DataFrame) -> DataFrame:
-        self.n += 1
-        path = f"{self.root}/{slot}-{self.n}"
-        result = written_at(df, path)
-        if slot in self.held:
-            remove(self.spark, self.held[slot])
-        self.held[slot] = path
-        return result
-
-
 def components(nodes: DataFrame, links: DataFrame, level: int = 0) -> DataFrame:
     """(node, component) for every node; links are (a, b), in any direction, repeated or not.
 
@@ -41,38 +28,41 @@ def components(nodes: DataFrame, links: DataFrame, level: int = 0) -> DataFrame:
     equal inputs have equal components. Links to unknown nodes, nulls and self-links are left out. A node without links
     is a component of its own.
     """
-    slots = _Slots(nodes.sparkSession, f"components{level}")
-    nodes = slots.put("nodes", nodes.select("node").dropna().distinct())
+    spark, steps = nodes.sparkSession, Steps(nodes.sparkSession, f"components{level}")
+    nodes = steps.put("nodes", nodes.select("node").dropna().distinct())
     both = links.select("a", "b").dropna().where("a <> b")
     both = both.join(nodes.toDF("a"), "a", "left_semi").join(nodes.toDF("b"), "b", "left_semi")
-    edges = slots.put("edges", both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    edges = steps.put("edges", both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     lot = F.xxhash64("node", F.lit(level))
     name = F.concat_ws(" ", F.format_string("%016x", lot), "node")
-    linked = slots.put("linked", edges.select(F.col("a").alias("node")).distinct())
+    linked, seen = steps.measured("linked", edges.select(F.col("a").alias("node")).distinct(), n=F.count("*"))
     alone = nodes.join(linked, "node", "left_anti").select("node", name.alias("label"))
-    if not linked.limit(1).count():
+    if not seen["n"]:
         return alone.withColumnRenamed("label", "component")
-    started = linked.where(F.pmod(lot, F.lit(SEED_EVERY)) == 0)
-    labelled = slots.put("labelled", started.select("node", name.alias("label")))
-    frontier = slots.put("frontier", labelled)
-    left = linked.count() - labelled.count()
-    while left:
-        if frontier.limit(1).count():
+    fresh = linked.where(F.pmod(lot, F.lit(SEED_EVERY)) == 0).select("node", name.alias("label"))
+    fronts: list[str] = []
+    while True:  # a round writes the nodes that it labels, and reads all labels in one scan
+        slot = f"front{len(fronts)}"
+        frontier, seen = steps.measured(slot, fresh, n=F.count("*"))
+        fronts.append(steps.held[slot])
+        labelled = spark.read.schema(frontier.schema).parquet(*fronts)
+        if seen["n"]:
             reached = frontier.join(edges.toDF("node", "next"), "node").groupBy(F.col("next").alias("node")).agg(F.min("label").alias("label"))
-            fresh = reached.join(labelled.select("node"), "node", "left_anti")
-        else:
-            # what no search reached: every node that drew the lowest lot among its unlabelled neighbours starts one
-            rest = slots.put("rest", linked.join(labelled.select("node"), "node", "left_anti").withColumn("lot", F.struct(lot.alias("h"), "node")))
-            around = edges.toDF("node", "next").join(rest.select(F.col("node").alias("next"), F.col("lot").alias("other")), "next")
-            least = around.groupBy("node").agg(F.min("other").alias("least"))
-            fresh = rest.join(least, "node", "left").where("least is null or lot < least").select("node", name.alias("label"))
-        frontier = slots.put("frontier", fresh.select("node", "label"))
-        labelled = slots.put("labelled", labelled.unionByName(frontier))
-        left = linked.count() - labelled.count()
+            fresh = reached.join(labelled.select("node"), "node", "left_anti").select("node", "label")
+            continue
+        # what no search reached: every node that drew the lowest lot among its unlabelled neighbours starts one
+        rest = linked.join(labelled.select("node"), "node", "left_anti").withColumn("lot", F.struct(lot.alias("h"), "node"))
+        rest, seen = steps.measured("rest", rest, n=F.count("*"))
+        if not seen["n"]:
+            break
+        around = edges.toDF("node", "next").join(rest.select(F.col("node").alias("next"), F.col("lot").alias("other")), "next")
+        least = around.groupBy("node").agg(F.min("other").alias("least"))
+        fresh = rest.join(least, "node", "left").where("least is null or lot < least").select("node", name.alias("label"))
     ends = edges.join(labelled.toDF("a", "label_a"), "a").join(labelled.toDF("b", "label_b"), "b")
-    met = slots.put("met", ends.where("label_a < label_b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct())
+    met = ends.where("label_a < label_b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct()
+    met, seen = steps.measured("met", met, n=F.count("*"))
     labels = labelled.select(F.col("label").alias("node")).distinct()
-    if met.limit(1).count():
+    if seen["n"]:
         merged = components(labels, met, level + 1)
         merged = merged.groupBy("component").agg(F.min("node").alias("first")).join(merged, "component").select(F.col("node").alias("label"), "first")
         labelled = labelled.join(merged, "label").select("node", F.col("first").alias("label"))
@@ -117,10 +107,7 @@ def tip_entities(metadata: DataFrame, branches: DataFrame) -> DataFrame:
     tips = metadata.where(is_tip_name("name") & F.col("dataset").isNotNull()).select(
         "dataset", clean_name("name").alias("name"), label("clade_membership").alias("clade")
     )
-    at = F.struct("exported_at", split_of("train_test").alias("split"))
-    rows = branches.select("dataset", clean_name("child").alias("name"), at.alias("at")).where("dataset is not null and name is not null")
-    now = rows.groupBy("dataset", "name").agg(F.max("at").alias("at")).select("dataset", "name", F.col("at.split").alias("split"))
-    return tips.distinct().join(now, ["dataset", "name"], "left").select("dataset", "name", "clade", F.coalesce("split", F.lit("train")).alias("split"))
+    return tips.distinct().join(node_splits(branches), ["dataset", "name"], "left").select("dataset", "name", "clade", F.coalesce("split", F.lit("train")).alias("split"))
 
 
 def grouped_splits(entities: DataFrame, targets: DataFrame) -> DataFrame:
@@ -135,11 +122,11 @@ def grouped_splits(entities: DataFrame, targets: DataFrame) -> DataFrame:
     # a tip with one group adds nothing to the graph; with several it links the first to each other
     firsts = keyed.groupBy("tip").agg(F.min("group").alias("home"))
     homes = keyed.join(firsts, "tip").select(*entities.columns, F.coalesce("home", "tip").alias("home"), "group")
-    slots = _Slots(entities.sparkSession, "entities")
-    homes = slots.put("homes", homes)
+    steps = Steps(entities.sparkSession, "entities")
+    homes = steps.put("homes", homes)
     nodes = homes.select(F.col("home").alias("node")).unionAll(homes.where("group is not null").select("group"))
     links = homes.where("group is not null and group <> home").select(F.col("home").alias("a"), F.col("group").alias("b"))
-    found = slots.put("found", components(nodes, links))
+    found = steps.put("found", components(nodes, links))
     rows = homes.join(found.select(F.col("node").alias("home"), "component"), "home")
     once = rows.select("dataset", "name", "component").distinct()
     return rows.join(assign_splits(once, targets), "component", "left").select(*entities.columns, "component", "new_split")
