@@ -34,12 +34,42 @@ def test_against_brute_force(spark, seed):
     rows += [(900, "d0", "test", "NNNN"), (901, "d0", "train", "NNNN"), (902, "d0", "test", "AC"), (903, "d1", "train", "AC"), (904, "d1", "validation", bases[0])]
     rows += [(910, "d0", "train", rows[0][3]), (911, "d1", "test", rows[0][3])]
     tips = spark.createDataFrame(rows, "seq_id long, dataset string, split string, seq string")
-    found = overlap.expanded_pairs(*overlap.cross_split_pairs(tips))
+    classes = overlap.cross_split_pairs(tips)
+    found = overlap.expanded_pairs(*classes).cache()
     got = {(r.held_out_id, r.training_id) for r in found.collect()}
     want = {(a[0], b[0]) for a in rows for b in rows if a[2] == "test" and b[2] == "train" and near(a[3], b[3])}
     assert got == want
-    report = {(r.split, r.dataset): r.n_pairs for r in overlap.overlap_report(found).collect()}
-    assert sum(n for (s, _), n in report.items() if s == "test") == len(want) == sum(n for (s, _), n in report.items() if s == "train")
+    report = {(r.split, r.dataset): (r.n_pairs, r.n_rows, r.n_equal) for r in overlap.overlap_report(*classes).collect()}
+    pairs = [r.asDict() for r in found.collect()]
+    for split, name in (("test", "held_out"), ("train", "training")):
+        for dataset in {p[f"{name}_dataset"] for p in pairs}:
+            mine = [p for p in pairs if p[f"{name}_dataset"] == dataset]
+            assert report.pop((split, dataset)) == (len(mine), len({p[f"{name}_id"] for p in mine}), sum(p["differing"] == 0 for p in mine))
+    assert not report
+
+
+def test_singly_masked_rows_meet(spark):
+    """Up to a fifth of the positions masked one by one, so that hardly a window of four bases is left."""
+    rng = random.Random(5)
+    bases = ["".join(rng.choice("ACGT") for _ in range(330)) for _ in range(15)]
+    rows = []
+    for i in range(120):
+        s = list(bases[i % 15])
+        for k in rng.sample(range(len(s)), rng.choice([0, 15, 33, 60])):
+            s[k] = rng.choice("N-")
+        rows.append((i, "d", rng.choice(["test", "train"]), "".join(s)))
+    rows += [(900, "d", "test", "ACNTA"), (901, "d", "train", "ACGTA")]
+    tips = spark.createDataFrame(rows, "seq_id long, dataset string, split string, seq string")
+    got = {(r.held_out_id, r.training_id) for r in overlap.expanded_pairs(*overlap.cross_split_pairs(tips)).collect()}
+    assert got == {(a[0], b[0]) for a in rows for b in rows if a[2] == "test" and b[2] == "train" and near(a[3], b[3])} and (900, 901) in got
+
+
+def test_slices():
+    for sizes in ([], [5], [9_000_000, 1, 9_000_000], [1000] * 50_000):
+        texts = ["A" * n for n in sizes]
+        cuts = list(overlap._slices(texts, texts))
+        assert [k for a, b in cuts for k in range(a, b)] == list(range(len(sizes)))
+        assert all(b - a == 1 or max(sizes[a:b]) * (b - a) <= overlap.COMPARED_BYTES for a, b in cuts)
 
 
 def test_nothing(spark):
