@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cladeflow.session import fresh_path, remove, rename
 
-#: A second pass corrects the partition size if mean file size is off the target by more than this factor.
+#: Further passes, up to CORRECTIONS, correct the partition size if mean file size is off the target by more than this factor.
 TOLERANCE = 1.5
+CORRECTIONS = 2
 
 
 def current_files(df: DataFrame, kinds: list[str]) -> DataFrame:
@@ -46,7 +49,7 @@ def compact(df: DataFrame, target_bytes: int, name: str = "compacted") -> tuple[
 
     The rows pass one shuffle under a REBALANCE hint, whose partitions runtime statistics merge or split.
     The advisory size holds for shuffled bytes; if the files' mean size misses the target, the advisory
-    size is scaled by that ratio and written once more. The result is moved to its final place only
+    size is scaled by that ratio and written again; if that doesn't help either, a warning says so. The result is moved to its final place only
     if its multiset checksum equals the input's; else the staged files are removed and an error is raised.
     The input's checksum is taken on the way, as the rows go into the shuffle; a task that ran twice counts
     twice there, so a difference is settled by a pass of its own.
@@ -60,7 +63,7 @@ def compact(df: DataFrame, target_bytes: int, name: str = "compacted") -> tuple[
     size, source, staged = target_bytes, df.observe(seen, *_sums(df)), None
     try:
         spark.conf.set(floor, "0.5")
-        for attempt in range(2):
+        for attempt in range(1 + CORRECTIONS):
             spark.conf.set(setting, str(max(1, int(size))))
             path = fresh_path(spark, f"_staged-{name}")
             source.hint("rebalance").write.option("compression", "zstd").parquet(path)
@@ -71,6 +74,8 @@ def compact(df: DataFrame, target_bytes: int, name: str = "compacted") -> tuple[
             wanted = max(1, round(total / target_bytes))
             if n == 0 or 1 / TOLERANCE <= n / wanted <= TOLERANCE:
                 break
+            if attempt == CORRECTIONS:
+                warnings.warn(f"{n} files where {wanted} were wanted: no partition size comes near {target_bytes} bytes a file", stacklevel=2)
             size = size * n / wanted
             source = spark.read.schema(df.schema).parquet(staged)
     finally:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -9,15 +10,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cladeflow.functions.names import clean_name
-from cladeflow.functions.sequences import mutation_base, mutation_position, substituted
+from cladeflow.functions.sequences import mutation_position
 from cladeflow.operators import nested
-from cladeflow.operators.lineage import analysis_of, closure
+from cladeflow.operators.lineage import analysis_of
 from cladeflow.session import written
 
 # Fixed values.
 KNOWN_FIELDS = ["clade_membership", "clade", "S1_mutations", "family_name"]
 FIELD_SAMPLE = 100
 DEFAULT_GENE = "nuc"
+_PLACE = re.compile(r"[+-]?\d{1,9}")
 _COLORINGS = "array<struct<key:string,title:string,type:string,scale:array<array<string>>>>"
 
 
@@ -50,26 +52,64 @@ def root_sequences(auspice: DataFrame, sidecars: DataFrame, analyses: DataFrame)
     return joined.select("record_id", "gene", F.nullif(seq, F.lit("")).alias("seq"), origin.alias("origin"))
 
 
+def _changes(node: dict, gene: str, length: int) -> list[tuple[int, str]]:
+    """(place from 0, base) of a node's well-formed mutations of the gene within the sequence, in their order."""
+    found = []
+    for of, _, entry in nested.mutations_of(node):
+        entry = nested.as_text(entry)
+        if of == gene and _PLACE.fullmatch(entry[1:-1].strip()) and 1 <= int(entry[1:-1]) <= length:
+            found.append((int(entry[1:-1]) - 1, entry[-1]))
+    return found
+
+
+def node_sequences_of(root: dict, gene: str, seq: str) -> Iterator[tuple[str, str, str]]:
+    """(node_path, name, sequence) of every node: one walk that puts changes in on the way down and takes them back on the way up."""
+    bases, stack = list(seq), [(root, "0", None)]
+    while stack:
+        node, path, undo = stack.pop()
+        if undo is not None:
+            for at, base in reversed(undo):
+                bases[at] = base
+            continue
+        undo = []
+        for at, base in _changes(node, gene, len(bases)) if path != "0" else ():
+            undo.append((at, bases[at]))
+            bases[at] = base
+        stack.append((node, path, undo))
+        yield path, nested.node_name(node), "".join(bases)
+        children = node.get("children")
+        if isinstance(children, list):
+            stack += [(c, f"{path}.{no}", None) for no, c in reversed(list(enumerate(children))) if isinstance(c, dict)]
+
+
 def reconstructed_sequences(auspice: DataFrame, sidecars: DataFrame, analyses: DataFrame) -> DataFrame:
     """record_id, node_path, name, seq: every node's sequence from the root's and the mutations on its path.
 
     Of mutations at one site the deepest counts, then the later entry. The root's own mutations don't
-    apply, nor do malformed ones or those beyond the sequence. Documents without a root sequence give no rows.
+    apply, nor do malformed ones or those beyond the sequence. Documents without a root sequence, broken ones and those
+    without a tree give no rows. A document is walked once; a node costs its changes and its sequence.
     """
-    items = written(nested.flatten_documents(auspice, ("node", "mutation")), "items")
-    nodes = nested.nodes_table(items)
-    roots = root_sequences(complete_documents(auspice, nodes), sidecars, analyses).where("seq is not null")
-    changes = nested.mutations_table(items).join(roots.select("record_id", "gene"), ["record_id", "gene"], "left_semi")
-    entry = F.expr("substr(item, length(gene) + 2)")
-    changes = changes.select("record_id", F.col("node_pre").alias("anc"), "item_no", mutation_position(entry).alias("pos"), mutation_base(entry).alias("base"))
-    changes = changes.where("pos is not null").join(nodes.where("depth > 0").select("record_id", F.col("pre").alias("anc")), ["record_id", "anc"], "left_semi")
-    links = nodes.where("depth > 0").select(F.col("record_id").alias("dataset"), F.col("parent_pre").alias("parent"), F.col("pre").alias("child"))
-    above = closure(links).withColumnRenamed("dataset", "record_id")
-    last = above.join(changes, ["record_id", "anc"]).groupBy("record_id", "node", "pos").agg(F.max_by("base", F.struct(-F.col("hops"), "item_no")).alias("base"))
-    gathered = last.groupBy("record_id", F.col("node").alias("pre")).agg(F.sort_array(F.collect_list(F.struct("pos", "base"))).alias("changes"))
-    whole = nodes.join(roots.select("record_id", "seq"), "record_id").join(gathered, ["record_id", "pre"], "left")
-    seq = F.when(F.col("changes").isNull(), F.col("seq")).otherwise(substituted(F.col("seq"), F.col("changes")))
-    return whole.select("record_id", "node_path", "name", seq.alias("seq"))
+    roots = root_sequences(auspice, sidecars, analyses).where("seq is not null").distinct()
+    rows = auspice.where("tree_json is not null").select("record_id", "tree_json").repartition("record_id").join(roots.select("record_id", "gene", "seq"), "record_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["record_id", "node_path", "name", "seq"]
+        for batch in batches:
+            made, chars = [], 0
+            for record, text, gene, seq in zip(*(batch.column(c) for c in ("record_id", "tree_json", "gene", "seq"))):
+                root = nested.root_of(nested.parse_document(text.as_py()))
+                for row in node_sequences_of(root, gene.as_py(), seq.as_py()) if root is not None else ():
+                    made.append((record.as_py(), *row))
+                    chars += len(row[0]) + len(row[2]) + 60
+                    if chars > nested.BATCH_CHARS:
+                        ids, *columns = zip(*made)
+                        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *map(nested.strings, columns)], names)
+                        made, chars = [], 0
+            if made:
+                ids, *columns = zip(*made)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *map(nested.strings, columns)], names)
+
+    return rows.mapInArrow(run, "record_id long, node_path string, name string, seq string")
 
 
 def mutation_counts(auspice: DataFrame, analyses: DataFrame) -> DataFrame:
@@ -85,20 +125,45 @@ def mutation_counts(auspice: DataFrame, analyses: DataFrame) -> DataFrame:
     return at.groupBy("record_id", "node_path").agg(F.count("*").alias("n_entries"), F.count_if(counted).alias("n_counted"))
 
 
-def metadata_fields(auspice: DataFrame) -> DataFrame:
+def metadata_fields(auspice: DataFrame, sample: int | None = FIELD_SAMPLE) -> DataFrame:
     """record_id, field, n_nodes: the columns of a document's metadata table.
 
-    Fields with a text value on one of the first 100 nodes in post-order, and the known ones, as far as a
-    node carries them as object with `value`; n_nodes counts those nodes.
+    Fields with a text value on one of the first `sample` nodes in post-order (all nodes for None), and the known ones, as far
+    as a node carries them as object with `value`; n_nodes counts those nodes. The sample of 100 is a fixed value of the format.
     """
-    items = written(nested.flatten_documents(auspice, ("node", "attribute")), "fields")
-    rank = F.row_number().over(Window.partitionBy("record_id").orderBy("post"))
-    early = items.where("item_kind = 'node'").select("record_id", F.col("pre").alias("node_pre"), rank.alias("rank")).where(F.col("rank") <= FIELD_SAMPLE)
+    return _fields(written(nested.flatten_documents(auspice, ("node", "attribute")), "fields"), sample)
+
+
+def _fields(items: DataFrame, sample: int | None) -> DataFrame:
     attributes = nested.attributes_table(items).where("shape <> 'plain'")
-    seen = attributes.where("shape = 'text'").join(early, ["record_id", "node_pre"], "left_semi").select("record_id", "field").distinct()
+    text = attributes.where("shape = 'text'")
+    if sample is not None:
+        rank = F.row_number().over(Window.partitionBy("record_id").orderBy("post"))
+        early = items.where("item_kind = 'node'").select("record_id", F.col("pre").alias("node_pre"), rank.alias("rank")).where(F.col("rank") <= sample)
+        text = text.join(early, ["record_id", "node_pre"], "left_semi")
     counts = attributes.groupBy("record_id", "field").agg(F.count("*").alias("n_nodes"))
     known = counts.where(F.col("field").isin(KNOWN_FIELDS))
-    return counts.join(seen, ["record_id", "field"], "left_semi").unionByName(known).distinct()
+    return counts.join(text.select("record_id", "field").distinct(), ["record_id", "field"], "left_semi").unionByName(known).distinct()
+
+
+def metadata_lines(auspice: DataFrame, sample: int | None = FIELD_SAMPLE) -> DataFrame:
+    """record_id, place, line of every document's metadata table: a header (place -1) and its nodes in post-order (place: post).
+
+    Columns are name, parent and the fields of metadata_fields() in their order; a missing value is empty, a missing parent `None`.
+    """
+    items = written(nested.flatten_documents(auspice, ("node", "attribute")), "fields")
+    nodes = nested.nodes_table(items).withColumn("name", clean_name("name"))
+    fields = _fields(items, sample)
+    heads = nodes.where("depth = 0").select("record_id").distinct().join(fields, "record_id", "left")
+    heads = heads.groupBy("record_id").agg(F.sort_array(F.collect_set("field")).alias("fields"))
+    values = nested.attributes_table(items).where("shape <> 'plain'").select("record_id", F.col("node_pre").alias("pre"), "field", "value")
+    held = values.groupBy("record_id", "pre").agg(F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("held"))
+    above = nodes.select("record_id", F.col("pre").alias("parent_pre"), F.col("name").alias("parent"))
+    whole = nodes.join(above, ["record_id", "parent_pre"], "left").join(held, ["record_id", "pre"], "left").join(heads, "record_id")
+    cells = F.transform("fields", lambda f: F.coalesce(F.try_element_at("held", f), F.lit("")))
+    line = F.array_join(F.concat(F.array(F.col("name"), F.coalesce("parent", F.lit("None"))), cells), "\t")
+    head = F.array_join(F.concat(F.array(F.lit("name"), F.lit("parent")), F.col("fields")), "\t")
+    return heads.select("record_id", F.lit(-1).cast("long").alias("place"), head.alias("line")).unionByName(whole.select("record_id", F.col("post").alias("place"), line.alias("line")))
 
 
 def color_map(auspice: DataFrame) -> DataFrame:

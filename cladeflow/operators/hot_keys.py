@@ -21,9 +21,9 @@ from cladeflow.session import written
 BLOCK = 4096
 #: Blocks that a task holds before it passes them on; bounds its memory at any number of keys.
 BLOCKS_HELD = 256
-#: The dictionary is broadcast up to this many keys and joined by shuffle, salted, beyond.
+#: The dictionary is broadcast up to this many keys and joined by shuffle beyond, with keys salted that hold more rows than a
+#: shuffle partition should.
 BROADCAST_KEYS = 200_000
-SALTS = 32
 
 _LOW, _HIGH = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
@@ -104,8 +104,14 @@ def _scatter(work: DataFrame, keys: DataFrame, small: bool, sums: list[str], low
     if small:
         coded = values.join(F.broadcast(keys), "_key")
     else:
-        salted = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        coded = values.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS))).join(salted, ["_key", "_salt"])
+        salts = int(work.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        counts = values.groupBy("_key").agg(F.count("*").alias("_n"))
+        hot = counts.crossJoin(F.broadcast(counts.agg(F.sum("_n").alias("_all")))).where(F.col("_n") * salts > F.col("_all"))
+        hot = written(hot.select("_key", F.lit(True).alias("_hot")), "hot")  # fewer keys than partitions
+        every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        salted = keys.join(F.broadcast(hot), "_key", "left").select(*keys.columns, F.explode(every).alias("_salt"))
+        one = F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
+        coded = values.join(F.broadcast(hot), "_key", "left").withColumn("_salt", one).join(salted, ["_key", "_salt"])
     run, schema = _accumulator(["rows", *sums], lows, highs)
     parts = coded.select("code", "rows", *sums, *lows, *highs).mapInArrow(run, schema)
     summed = parts.groupBy("block", "slot").agg(

@@ -142,7 +142,7 @@ def write_deep(document) -> str:
     return "".join(out)
 
 
-def _text(value) -> str:
+def as_text(value) -> str:
     if isinstance(value, str):
         return value
     return write_deep(value) if isinstance(value, (dict, list)) else json.dumps(value, ensure_ascii=False)
@@ -177,7 +177,7 @@ def _attributes(node: dict):
                     yield field, value, shape
 
 
-def _mutations(node: dict):
+def mutations_of(node: dict):
     branch = node.get("branch_attrs")
     genes = branch.get("mutations") if isinstance(branch, dict) else None
     if isinstance(genes, dict):
@@ -207,11 +207,11 @@ def walk(root: dict, kinds: set[str]) -> Iterator[tuple]:
         stack.append((node, parent_pre, depth, path, position, pre))
         for no, (field, value, shape) in enumerate(_attributes(node)):
             if attributes:
-                yield clock, clock, pre, depth, path, "attribute", no, field, _text(value), shape
+                yield clock, clock, pre, depth, path, "attribute", no, field, as_text(value), shape
             clock += 1
-        for gene, no, entry in _mutations(node):
+        for gene, no, entry in mutations_of(node):
             if mutations:
-                yield clock, clock, pre, depth, path, "mutation", no, gene, f"{gene}:{_text(entry)}", None
+                yield clock, clock, pre, depth, path, "mutation", no, gene, f"{gene}:{as_text(entry)}", None
             clock += 1
         children = node.get("children")
         if isinstance(children, list):
@@ -229,7 +229,7 @@ def numbered_nodes(root: dict) -> Iterator[tuple[int, dict]]:
             clock += 1
             continue
         pre = clock
-        clock += 1 + sum(1 for _ in _attributes(node)) + sum(1 for _ in _mutations(node))
+        clock += 1 + sum(1 for _ in _attributes(node)) + sum(1 for _ in mutations_of(node))
         stack.append(None)
         children = node.get("children")
         if isinstance(children, list):

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cladeflow.functions.sequences import masked_hamming
+from cladeflow.functions.names import file_stem
+from cladeflow.functions.sequences import fasta_record, masked_hamming
 from cladeflow.operators.dense_ids import ordinals, running_before
 from cladeflow.operators.intervals import interval_blocks, point_blocks
 from cladeflow.operators.lineage import node_sequences
@@ -17,6 +18,8 @@ from cladeflow.session import written
 
 #: Draws per wanted number; a group that falls short is drawn again with four times as many.
 DRAWS = 4
+#: Numbers that one row is turned into at once, and items of a block when all pairs are measured.
+STRIDE, BLOCK = 65_536, 128
 
 
 def pair_count(n: Column) -> Column:
@@ -31,17 +34,26 @@ def unrank(idx: Column) -> tuple[Column, Column]:
     return (idx - low(i)).cast("long"), i.cast("long")
 
 
-def drawn_numbers(groups: DataFrame, key: str, limit: int, seed: int) -> DataFrame:
+def drawn_numbers(groups: DataFrame, key: str, limit: int | None, seed: int) -> DataFrame:
     """(key, idx): up to `limit` distinct numbers below `total` for each row (key, total) of groups.
 
-    All of them if there are no more than limit; else drawn by hash of seed, key and draw number, each
+    All of them if there are no more than limit or limit is None; else drawn by hash of seed, key and draw number, each
     number once, in the order of its first draw. Of up to twice the limit, all are put in the order of their hashes.
     """
     hashed = lambda d: F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key), d.cast("string")))
+    if limit is not None and limit < 0:
+        raise ValueError("limit must not be negative")
+    span = lambda low, high, step: F.explode(F.sequence(F.lit(low).cast("long"), high, F.lit(step).cast("long")))
+
+    def number(g: DataFrame, upto: Column) -> DataFrame:  # in two steps, as a group's numbers may be too many for one row
+        starts = g.where("total > 0").where(upto >= 0).withColumn("_low", span(0, upto, STRIDE)).withColumn("_high", F.least(F.col("_low") + STRIDE - 1, upto))
+        return starts.withColumn("d", F.explode(F.sequence("_low", "_high"))).drop("_low", "_high")
+
+    if limit is None:
+        return number(groups, F.col("total") - 1).select(key, F.col("d").alias("idx"))
     every = groups.where(F.col("total") <= limit)
     dense = groups.where((F.col("total") > limit) & (F.col("total") <= 2 * limit))
     sparse = groups.where(F.col("total") > 2 * limit)
-    number = lambda g, upto: g.where("total > 0").withColumn("d", F.explode(F.sequence(F.lit(0).cast("long"), upto)))
     all_of = number(every, F.col("total") - 1).select(key, F.col("d").alias("idx"))
     ranked = number(dense, F.col("total") - 1).withColumn("rn", F.row_number().over(Window.partitionBy(key).orderBy(hashed(F.col("d")))))
     most_of = ranked.where(F.col("rn") <= limit).select(key, F.col("d").alias("idx"))
@@ -58,15 +70,47 @@ def drawn_numbers(groups: DataFrame, key: str, limit: int, seed: int) -> DataFra
         draws *= 4
 
 
-def with_sequences(pairs: DataFrame, alignment: DataFrame) -> DataFrame:
-    """dataset, tip1, tip2, hamming; pairs that miss a sequence are dropped, letters compare as they are."""
+def with_sequences(pairs: DataFrame, alignment: DataFrame, keep: bool = False) -> DataFrame:
+    """The pairs (dataset, tip1, tip2 and others) with hamming, and with seq1 and seq2 if they are to be kept.
+
+    Pairs that miss a sequence are dropped, letters compare as they are.
+    """
     seqs = node_sequences(alignment).where("seq <> ''")
     joined = pairs.join(seqs.toDF("dataset", "tip1", "seq1"), ["dataset", "tip1"]).join(seqs.toDF("dataset", "tip2", "seq2"), ["dataset", "tip2"])
-    return joined.select(*pairs.columns, masked_hamming("seq1", "seq2").alias("hamming"))
+    return joined.select(*pairs.columns, masked_hamming("seq1", "seq2").alias("hamming"), *(["seq1", "seq2"] if keep else []))
+
+
+def every_pair(members: DataFrame, groups: list[str], item: str, alignment: DataFrame) -> DataFrame:
+    """groups, tip1, tip2, hamming of all pairs of each group's items that have a sequence, tip1 before tip2 in their order.
+
+    groups hold dataset. The result is as large as there are pairs, the sequences on the way aren't: blocks of items meet blocks, so
+    that a sequence is sent once a block and not once a pair.
+    """
+    seqs = node_sequences(alignment).where("seq <> ''").select("dataset", F.col("name").alias(item), "seq")
+    numbered = written(ordinals(members.join(seqs.select("dataset", item), ["dataset", item], "left_semi"), groups, [item], "ord"), "ordinals")
+    held = numbered.join(seqs, ["dataset", item]).withColumn("block", F.floor(F.col("ord") / BLOCK))
+    blocks = held.groupBy(*groups, "block").agg(F.max("n").alias("n"), F.collect_list(F.struct("ord", F.col(item).alias("tip"), "seq")).alias("items"))
+    blocks = written(blocks, "blocks")
+    last = F.floor((F.col("n") - 1) / BLOCK)
+    low = blocks.select(*groups, F.col("items").alias("items1"), F.explode(F.sequence("block", last)).alias("block"))
+    met = low.join(blocks.select(*groups, "block", F.col("items").alias("items2")), [*groups, "block"])
+    first = met.select(*groups, F.explode("items1").alias("a"), "items2")
+    both = first.select(*groups, "a", F.explode(F.filter("items2", lambda b: b["ord"] > F.col("a.ord"))).alias("b"))
+    return both.select(*groups, F.col("a.tip").alias("tip1"), F.col("b.tip").alias("tip2"), masked_hamming("a.seq", "b.seq").alias("hamming"))
+
+
+def pair_files(pairs: DataFrame, kind: str) -> DataFrame:
+    """dataset, file_path, content: a FASTA file of two records a pair, the first at distance 0.
+
+    pairs: dataset, tip1, tip2, hamming, seq1, seq2. file_path is `{kind}/{stem1}__{stem2}.fasta`.
+    """
+    record = lambda tip, far, seq: fasta_record(F.concat_ws("|", tip, far.cast("string")), F.col(seq))
+    path = F.concat(F.lit(f"{kind}/"), file_stem("tip1"), F.lit("__"), file_stem("tip2"), F.lit(".fasta"))
+    return pairs.select("dataset", path.alias("file_path"), F.concat(record("tip1", F.lit(0), "seq1"), record("tip2", F.col("hamming"), "seq2")).alias("content"))
 
 
-def pairs_within(members: DataFrame, group: str, item: str, limit: int, seed: int = 42) -> DataFrame:
-    """(group, tip1, tip2) of up to `limit` pairs of each group's items, tip1 before tip2 in their order."""
+def pairs_within(members: DataFrame, group: str, item: str, limit: int | None = None, seed: int = 42) -> DataFrame:
+    """(group, tip1, tip2) of up to `limit` pairs of each group's items (None: all), tip1 before tip2 in their order."""
     numbered = written(ordinals(members, [group], [item], "ord"), "ordinals")
     totals = numbered.groupBy(group).agg(F.max("n").alias("n")).select(group, pair_count(F.col("n")).cast("long").alias("total"))
     return _named(drawn_numbers(totals, group, limit, seed), numbered, group, item)
@@ -80,8 +124,8 @@ def _named(numbers: DataFrame, numbered: DataFrame, group: str, item: str) -> Da
     return at.join(first, [group, "j"]).join(second, [group, "i"]).select(group, "tip1", "tip2")
 
 
-def pairs_within_clades(membership: DataFrame, limit: int, seed: int = 42) -> DataFrame:
-    """(dataset, clade_root, tip1, tip2): up to `limit` pairs a dataset, within its clades.
+def pairs_within_clades(membership: DataFrame, limit: int | None = None, seed: int = 42) -> DataFrame:
+    """(dataset, clade_root, tip1, tip2): up to `limit` pairs a dataset (None: all), within its clades.
 
     The pair numbers of a dataset's clades follow one another; a drawn number is located in the clade
     whose stretch of numbers holds it.

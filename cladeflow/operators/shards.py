@@ -21,13 +21,16 @@ def shuffled(df: DataFrame, group: list[str], item: str, seed: int) -> DataFrame
     return ordinals(keyed, group, ["_lot", item], "place").drop("_lot")
 
 
-def shard_assignment(files: DataFrame, seed: int = 42, shard_size: int = SHARD_SIZE) -> DataFrame:
-    """dataset, kind, file_name, shard: `{kind}-{number}.tar.zst`, numbers by place in the shuffled order."""
+def shard_assignment(files: DataFrame, seed: int = 42, shard_size: int = SHARD_SIZE, flat: bool = False) -> DataFrame:
+    """dataset, kind, file_name, shard: `{kind}-{number}.tar.zst`, numbers by place in the shuffled order.
+
+    flat names them `trajectories-{number}.tar.zst`, for a dataset whose files aren't split by kind.
+    """
     if shard_size < 1:
         raise ValueError("shard_size must be at least 1")
     placed = shuffled(files.select("dataset", "kind", "file_name"), ["dataset", "kind"], "file_name", seed)
     number = F.floor(F.col("place") / shard_size)
-    return placed.select("dataset", "kind", "file_name", F.format_string("%s-%03d.tar.zst", "kind", number).alias("shard"))
+    return placed.select("dataset", "kind", "file_name", F.format_string("%s-%03d.tar.zst", F.lit("trajectories") if flat else F.col("kind"), number).alias("shard"))
 
 
 def fraction_sample(df: DataFrame, group: list[str], item: str, fraction: float, seed: int = 42) -> DataFrame:
@@ -48,7 +51,7 @@ def shard_payloads(files: DataFrame, assigned: DataFrame) -> DataFrame:
         import zstandard
 
         raw = io.BytesIO()
-        with tarfile.open(fileobj=raw, mode="w") as tar:
+        with tarfile.open(fileobj=raw, mode="w", format=tarfile.GNU_FORMAT) as tar:
             for name, text in sorted(zip(pdf.file_name, pdf.file_text)):
                 data = (text or "").encode()
                 info = tarfile.TarInfo(name)
@@ -62,3 +65,12 @@ def shard_payloads(files: DataFrame, assigned: DataFrame) -> DataFrame:
 
     rows = files.select("dataset", "kind", "file_name", "file_text").join(assigned, ["dataset", "kind", "file_name"])
     return rows.groupBy("dataset", "shard").applyInPandas(run, "dataset string, shard string, n_files long, n_raw long, payload binary")
+
+
+def shard_totals(payloads: DataFrame) -> DataFrame:
+    """dataset, n_shards, n_files, raw_bytes, packed_bytes, ratio of shard_payloads(); the ratio is 0 where nothing was packed."""
+    sums = payloads.groupBy("dataset").agg(
+        F.count("*").alias("n_shards"), F.sum("n_files").alias("n_files"), F.sum("n_raw").alias("raw_bytes"), F.sum(F.length("payload")).cast("long").alias("packed_bytes")
+    )
+    ratio = F.when(F.col("packed_bytes") > 0, F.col("raw_bytes") / F.col("packed_bytes")).otherwise(F.lit(0.0))
+    return sums.withColumn("ratio", ratio)

@@ -66,6 +66,40 @@ def pair_stats(pairs: DataFrame, prefix: str) -> DataFrame:
     )
 
 
+def merge(previous: DataFrame, fresh: DataFrame, key: str = "dataset") -> DataFrame:
+    """Every key of both: the columns of fresh where fresh has the key, the others as they were. Columns that only one has are kept.
+
+    upsert() replaces whole rows, this sets single columns.
+    """
+    both = [c for c in previous.columns if c in fresh.columns and c != key]
+    renamed = fresh.select(key, F.lit(True).alias("_fresh"), *(F.col(c).alias(f"_{c}" if c in both else c) for c in fresh.columns if c != key))
+    joined = previous.join(renamed, key, "full")
+    chosen = [F.when(F.col("_fresh"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in both else c for c in previous.columns]
+    return joined.select(*chosen, *(c for c in fresh.columns if c not in previous.columns))
+
+
+def entries(summary: DataFrame, urls: DataFrame | None = None) -> DataFrame:
+    """dataset, entry: one JSON object a dataset, as the summary document holds them under its name.
+
+    summary: path_stats(), branch_stats() and pair_stats() of train and test joined. Means are rounded to two places, half to even;
+    statistics of no pairs are left out. urls: dataset, url.
+    """
+    spread = lambda name, low, high, total, n: F.when(
+        F.col(n) > 0, F.struct(F.col(low).alias("min"), F.col(high).alias("max"), F.bround(F.col(total) / F.col(n), 2).alias("mean"))
+    ).alias(name)
+    count = lambda c: F.coalesce(c, F.lit(0))
+    rows = summary.join(urls, "dataset", "left") if urls is not None else summary.withColumn("url", F.lit(None).cast("string"))
+    entry = F.struct(
+        "url", F.col("n_tips").alias("num_tips"), count("n_sequences").alias("num_nodes"), count("sequence_length").alias("sequence_length"),
+        spread("hamming_from_root", "min_distance", "max_distance", "sum_distance", "n_tips"), spread("path_depth", "min_depth", "max_depth", "sum_depth", "n_tips"),
+        F.col("n_branches").alias("total_branches"), F.col("n_zero").alias("zero_distance_branches"), spread("per_branch_hamming", "min_hamming", "max_hamming", "sum_hamming", "n_branches"),
+        F.col("n_train").alias("train_tips"), F.col("n_test").alias("test_tips"),
+        count("train_pairs").alias("pairwise_train_pairs"), count("test_pairs").alias("pairwise_test_pairs"), count("n_test_clades").alias("pairwise_test_clades"),
+        spread("pairwise_train_hamming", "train_min", "train_max", "train_sum", "train_pairs"), spread("pairwise_test_hamming", "test_min", "test_max", "test_sum", "test_pairs"),
+    )
+    return rows.select("dataset", F.to_json(entry).alias("entry"))
+
+
 def upsert(previous: DataFrame, current: DataFrame, key: str = "dataset") -> DataFrame:
     """The current rows, and the previous rows of keys that current has none of; both have the same columns."""
     kept = previous.join(current.select(key), key, "left_anti")

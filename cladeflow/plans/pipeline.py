@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeflow.functions.names import clean_name
-from cladeflow.functions.sequences import has_inner_stop, strip_stops, trim
+from cladeflow.functions.sequences import fasta_record, has_inner_stop, strip_stops, trim
 from cladeflow.operators import documents, lineage, nested, pairs, random_clades
 from cladeflow.session import written
 from cladeflow.sources.tables import table
@@ -25,15 +25,20 @@ class Provision:
     alignment: DataFrame  # seq_id, name, seq
     tips: DataFrame  # tip, split
 
+    def alignment_records(self, tips_only: bool = False) -> DataFrame:
+        """dataset, name, record: the alignment as FASTA records, of the tips alone or of all nodes."""
+        rows = self.alignment.join(self.tips.select("dataset", F.col("tip").alias("name")), ["dataset", "name"], "left_semi") if tips_only else self.alignment
+        return rows.select("dataset", "name", fasta_record(F.col("name"), F.col("seq")).alias("record"))
+
     def frames(self) -> DataFrame:
         up = lineage.closure(self.links, self.tips.withColumnRenamed("tip", "node"))
         return lineage.forward_frames(up, self.links, self.tips, self.alignment)
 
-    def train_pairs(self, limit: int, seed: int = 42) -> DataFrame:
+    def train_pairs(self, limit: int | None = None, seed: int = 42) -> DataFrame:
         train = self.tips.where("split = 'train'")
         return pairs.with_sequences(pairs.pairs_within(train, "dataset", "tip", limit, seed), self.alignment)
 
-    def test_pairs(self, limit: int, seed: int = 42) -> DataFrame:
+    def test_pairs(self, limit: int | None = None, seed: int = 42) -> DataFrame:
         members = written(lineage.clade_membership(self.links, self.tips), "members")
         return pairs.with_sequences(pairs.pairs_within_clades(members, limit, seed), self.alignment)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cladeflow.functions.names import is_tip_name, label
 from cladeflow.operators import compaction, hierarchy, hot_keys, nested
-from cladeflow.plans.reference import MUTATIONS, NODES
+from cladeflow.plans.reference import LABELS, MUTATIONS, NODES
 from cladeflow.sources.tables import table
 
 #: Problem 1's share of the rows, and problem 4's kinds and target file size in capacities.
@@ -70,6 +70,12 @@ def p4_found(spark: SparkSession, data_dir: str) -> DataFrame:
     return _compacted(spark, data_dir)[0].select("file_id")
 
 
+def p4_listing(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The consolidated files themselves: name, bytes and records of each."""
+    files = _compacted(spark, data_dir)[1]
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "n_bytes", "n_records")
+
+
 def p4_files(spark: SparkSession, data_dir: str) -> DataFrame:
     """Per record of the consolidated files: its identity and a digest of its text as read back."""
     rows = _compacted(spark, data_dir)[0]
@@ -90,7 +96,7 @@ def p5_descendants(spark: SparkSession, data_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_clades, p2_found, p2_nodes, p2_attributes, p2_mutations, p4_found, p4_files, p5_found, p5_hierarchy, p5_descendants)
+    for f in (p1_found, p1_clades, p2_found, p2_nodes, p2_attributes, p2_mutations, p4_found, p4_files, p4_listing, p5_found, p5_hierarchy, p5_descendants)
 }
 
 _LABEL = "upper(regexp_replace(clade_membership, '^\\s+|\\s+$', '', 'g'))"
@@ -121,24 +127,6 @@ _FOREST = f"""{_CYCLES.rpartition("select distinct")[0].rstrip()},
   walk(dataset, node, below, path) as (select dataset, node, below, [node] from nodes where up is null
     union all select n.dataset, n.node, n.below, list_append(w.path, n.node) from walk w join nodes n on n.dataset = w.dataset and n.up = w.node),
   pairs as (select dataset, node, path[i] as anc, len(path) - i as hops from walk, unnest(range(1, len(path) + 1)) as t(i))"""
-#: A node's label: what the nodes before it in pre-order carry, and the nodes left by then, come before it.
-_LABELS = f"""{NODES}{MUTATIONS},
-  raw as (select record_id, node_path, 1 as src, f.rowid as spot, f.key as field, f.value as v from nodes, json_each(n, '$.node_attrs') as f where json_type(n, '$.node_attrs') = 'OBJECT'
-    union all select record_id, node_path, 2, f.rowid, f.key, f.value from nodes, json_each(n, '$.attr') as f where json_type(n, '$.attr') = 'OBJECT'),
-  attrs as (select record_id, node_path, field, case when json_type(x) = 'VARCHAR' then x->>'$' else cast(x as varchar) end as value,
-      case when not wrapped then 'plain' when json_type(x) = 'VARCHAR' then 'text' else 'other' end as shape,
-      row_number() over (partition by record_id, node_path order by src, spot) - 1 as item_no
-    from (select *, json_type(v) = 'OBJECT' and json_exists(v, '$.value') as wrapped, case when json_type(v) = 'OBJECT' and json_exists(v, '$.value') then v->'$.value' else v end as x from raw)
-    where json_type(x) <> 'NULL'),
-  n_attr as (select record_id, node_path, count(*) as n from attrs group by 1, 2), n_mut as (select record_id, node_path, count(*) as n from muts group by 1, 2),
-  keyed as (select k.*, coalesce(a.n, 0) as n_attrs, coalesce(a.n, 0) + coalesce(m.n, 0) as carried, list_transform(string_split(k.node_path, '.'), lambda x: cast(x as bigint)) as k
-    from nodes k left join n_attr a using (record_id, node_path) left join n_mut m using (record_id, node_path)),
-  up(record_id, node_path, anc, carried) as (select record_id, node_path, node_path, carried from keyed union all
-    select record_id, node_path, regexp_replace(anc, '\\.\\d+$', ''), carried from up where contains(anc, '.')),
-  sizes as (select record_id, anc as node_path, sum(2 + carried) as size from up group by 1, 2),
-  labelled as (select record_id, node_path, no, depth, n, n_attrs, cast(pre as bigint) as pre, cast(pre + size - 1 as bigint) as post from (
-    select k.*, size, sum(1 + carried) over (partition by record_id order by k.k) - 1 - carried + row_number() over (partition by record_id order by k.k) - 1 - depth as pre
-    from keyed k join sizes using (record_id, node_path)))"""
 _NAMED = "\n    union select dataset, regexp_replace(name, '^hCoV-19/', '') from metadata where dataset is not null and name is not null"
 
 ORACLE = {
@@ -158,10 +146,10 @@ ORACLE = {
     "p2_found": f"""{NODES}{MUTATIONS} select record_id, node_path, 'node' as item_kind, cast(no as bigint) as item_no,
         coalesce(n->>'$.name', n->>'$.strain', '') as item from nodes
         union all select record_id, node_path, 'mutation', item_no, gene || ':' || entry from muts""",
-    "p2_nodes": f"""{_LABELS} select r.record_id, r.pre, r.post, u.pre as parent_pre, r.depth, r.node_path, r.no as sibling_no, coalesce(r.n->>'$.name', r.n->>'$.strain', '') as name
+    "p2_nodes": f"""{LABELS} select r.record_id, r.pre, r.post, u.pre as parent_pre, r.depth, r.node_path, r.no as sibling_no, coalesce(r.n->>'$.name', r.n->>'$.strain', '') as name
         from labelled r left join labelled u on u.record_id = r.record_id and r.depth > 0 and u.node_path = regexp_replace(r.node_path, '\\.\\d+$', '')""",
-    "p2_attributes": f"""{_LABELS} select a.record_id, l.pre + 1 + item_no as pre, l.pre as node_pre, a.node_path, field, value, shape from attrs a join labelled l using (record_id, node_path)""",
-    "p2_mutations": f"""{_LABELS} select m.record_id, l.pre + 1 + n_attrs + row_number() over (partition by m.record_id, m.node_path order by gene_no, item_no) - 1 as pre, l.pre as node_pre,
+    "p2_attributes": f"""{LABELS} select a.record_id, l.pre + 1 + item_no as pre, l.pre as node_pre, a.node_path, field, value, shape from attrs a join labelled l using (record_id, node_path)""",
+    "p2_mutations": f"""{LABELS} select m.record_id, l.pre + 1 + n_attrs + row_number() over (partition by m.record_id, m.node_path order by gene_no, item_no) - 1 as pre, l.pre as node_pre,
         m.node_path, gene, item_no, gene || ':' || entry as item from (select record_id, node_path, gene_no, gene, cast(e.key as bigint) as item_no,
           case when json_type(e.value) = 'VARCHAR' then e.value->>'$' else cast(e.value as varchar) end as entry from (select record_id, node_path, g.key as gene, g.rowid as gene_no, g.value as l
             from nodes, json_each(n, '$.branch_attrs.mutations') as g where json_type(n, '$.branch_attrs.mutations') = 'OBJECT'), json_each(l) as e where json_type(l) = 'ARRAY') m

@@ -135,9 +135,10 @@ def fasta_render(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def pairs_all(spark: SparkSession, data_dir: str) -> DataFrame:
+    """All pairs of the train tips of each dataset, without a limit."""
     tree = Tree(spark, data_dir)
     train = tree.tips.where("split = 'train'")
-    return pairs.with_sequences(pairs.pairs_within(train, "dataset", "tip", TRAIN_LIMIT, SEED), tree.table("alignment"))
+    return pairs.every_pair(train, ["dataset"], "tip", tree.table("alignment"))
 
 
 def pairs_sampled(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -160,6 +161,28 @@ def pairs_sampled_by_clade(spark: SparkSession, data_dir: str) -> DataFrame:
     return _clade_pairs(spark, data_dir, CLADE_SAMPLE_LIMIT)
 
 
+def pair_files(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Pair files of sampled train pairs and of test pairs within clades: path, and length and digest of the text."""
+    tree = Tree(spark, data_dir)
+    train = pairs.pairs_within(tree.tips.where("split = 'train'"), "dataset", "tip", SAMPLE_LIMIT, SEED)
+    members = written(lineage.clade_membership(tree.links, tree.tips), "members")
+    test = pairs.pairs_within_clades(members, CLADE_SAMPLE_LIMIT, SEED).drop("clade_root")
+    made = [pairs.pair_files(pairs.with_sequences(p, tree.table("alignment"), keep=True), kind) for p, kind in ((train, "pairwise-train"), (test, "pairwise-test"))]
+    return made[0].unionByName(made[1]).select("dataset", "file_path", F.length("content").alias("n_chars"), F.md5("content").alias("digest"))
+
+
+def alignment_fasta(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Records of the alignment as written, stop codons treated as in stop_filter_trim: length and digest of each."""
+    rows = stop_filter_trim(spark, data_dir).where("seq is not null and name is not null")
+    record = fasta_record(F.col("name"), F.col("seq"))
+    return rows.select("seq_id", "dataset", is_tip_name("name").alias("is_tip"), F.length(record).alias("n_chars"), F.md5(record).alias("digest"))
+
+
+def metadata_table(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The metadata tables of all documents, line by line, each with its own header."""
+    return documents.metadata_lines(table(spark, data_dir, "auspice"))
+
+
 def stop_filter_trim(spark: SparkSession, data_dir: str) -> DataFrame:
     """Sequences without trailing stops, those with inner stops dropped, trimmed to the analysis's region."""
     bounds = table(spark, data_dir, "analyses").select("analysis", "trim_begin", "trim_end")
@@ -179,7 +202,7 @@ def metadata_rows(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def summary(spark: SparkSession, data_dir: str) -> DataFrame:
-    """One row a dataset: paths, branches, sequences, test clades and test pairs."""
+    """One row a dataset: paths, branches, sequences, test clades, train and test pairs."""
     tree = Tree(spark, data_dir)
     closed = tree.tip_closure()
     frames = written(lineage.forward_frames(closed, tree.links, tree.tips, tree.table("alignment")), "frames")
@@ -188,15 +211,24 @@ def summary(spark: SparkSession, data_dir: str) -> DataFrame:
     last = lineage.forward_frames(closed, tree.links, tree.tips, everyone).where("tip = node").select("dataset", "tip", F.col("cum_dist").alias("distance"))
     stats = summaries.path_stats(frames, tree.tips, last)
     seqs = lineage.node_sequences(tree.table("alignment")).where("seq <> ''").groupBy("dataset").agg(
-        F.count("*").alias("n_sequences"), F.max(F.length("seq")).alias("max_length")
+        F.count("*").alias("n_sequences")
     )
+    record = tree.table("alignment").where("dataset is not null and name is not null and seq <> ''")
+    seqs = seqs.join(record.groupBy("dataset").agg(F.min_by(F.length("seq"), "seq_id").alias("sequence_length")), "dataset", "left")
     members = written(lineage.clade_membership(tree.links, tree.tips), "members")
     clades = members.groupBy("dataset").agg(F.count_distinct("clade_root").alias("n_test_clades"))
     test = summaries.pair_stats(pairs.with_sequences(pairs.pairs_within_clades(members, TEST_LIMIT, SEED), tree.table("alignment")), "test")
+    drawn = pairs.pairs_within(tree.tips.where("split = 'train'"), "dataset", "tip", TRAIN_LIMIT, SEED)
+    train = summaries.pair_stats(pairs.with_sequences(drawn, tree.table("alignment")), "train")
     wide = stats.join(summaries.branch_stats(tree.links), "dataset")
-    for part in (seqs, clades, test):
+    for part in (seqs, clades, train, test):
         wide = wide.join(part, "dataset", "left")
-    return wide
+    return wide.fillna(0, ["n_sequences", "sequence_length", "n_test_clades", "train_pairs", "test_pairs"])
+
+
+def summary_document(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The summary as it is written: a JSON object a dataset."""
+    return summaries.entries(summary(spark, data_dir))
 
 
 def dataset_upsert(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -242,6 +274,15 @@ def shard_contents(spark: SparkSession, data_dir: str) -> DataFrame:
     return shards.shard_payloads(files, shards.shard_assignment(files, SEED, SHARD_SIZE))
 
 
+def shard_sizes(spark: SparkSession, data_dir: str) -> DataFrame:
+    """dataset, shard, n_files, n_raw of the shards as packed."""
+    return shard_contents(spark, data_dir).drop("payload")
+
+
+def shard_totals(spark: SparkSession, data_dir: str) -> DataFrame:
+    return shards.shard_totals(shard_contents(spark, data_dir))
+
+
 def fraction_sample(spark: SparkSession, data_dir: str) -> DataFrame:
     names = table(spark, data_dir, "alignment").where(is_tip_name("name") & (F.length("seq") > 0))
     return shards.fraction_sample(names.select("dataset", clean_name("name").alias("name")), ["dataset"], "name", SAMPLE_FRACTION, SEED)
@@ -262,8 +303,9 @@ QUERIES = {
     for f in (
         forward_frames, edges, tips, closure_depth, descendants, traversal_ranks, clade_tip_count, branch_hamming, branch_stats,
         branch_histogram, branches_tsv, walk_back, monophyletic_split, random_clade_split, clade_roots, clade_membership, fasta_render,
-        pairs_all, pairs_sampled, pairs_within_clade, pairs_sampled_by_clade, stop_filter_trim, metadata_rows, summary, dataset_upsert,
-        root_sequences, node_sequences, mutation_count_region, metadata_fields, color_map, shard_assignment, shard_contents,
+        pairs_all, pairs_sampled, pairs_within_clade, pairs_sampled_by_clade, pair_files, stop_filter_trim, alignment_fasta, metadata_rows, metadata_table,
+        summary, summary_document, dataset_upsert,
+        root_sequences, node_sequences, mutation_count_region, metadata_fields, color_map, shard_assignment, shard_contents, shard_sizes, shard_totals,
         fraction_sample, sanitize_name, publish_paths,
     )
 }
@@ -316,11 +358,22 @@ _FRAMES = """,
     sum(case when hops = top then 0 else d0 end) over (partition by dataset, node order by hops desc rows unbounded preceding) as cum_dist from kept),
   frames as (select g.dataset, tip_split as split, g.node as tip, top - hops as pos, anc as node, cum_dist from gone g
     join seqs s on s.dataset = g.dataset and s.name = g.anc and s.seq <> '' where hops = top or hops = 0 or d > 0)"""
+_WALKED = """,
+  climbed as (select p.dataset, p.node, p.anc, p.hops, l.child is not null as has_parent,
+    sum(coalesce(l.hamming, 0)) over (partition by p.dataset, p.node order by p.hops) as gone,
+    coalesce(a.mutations_back, 5) as back from pairs p join tips t on t.dataset = p.dataset and t.tip = p.node
+    left join links l on l.dataset = p.dataset and l.child = p.anc
+    left join settings a on a.analysis = regexp_replace(p.dataset, '_\\d+$', '')),
+  walked as (select dataset, node as tip, coalesce(arg_min(anc, hops) filter (has_parent and gone >= back), arg_max(anc, hops)) as clade_root
+    from climbed group by 1, 2)"""
 _NUMBER = "('0x' || substr(md5('42:' || key || ':' || d), 1, 15))::bigint % total"
 
 
-def _drawn(limit: int) -> str:
+def _drawn(limit: int | None) -> str:
     """groups(key, total) to numbers(key, idx)."""
+    if limit is None:
+        return """
+  numbers as (select key, i as idx from groups, unnest(range(0, total)) as t(i))"""
     return f"""
   every as (select key, i as idx from groups, unnest(range(0, total)) as t(i) where total <= {limit}),
   dense as (select key, i as idx from groups, unnest(range(0, total)) as t(i) where total > {limit} and total <= {2 * limit}
@@ -330,7 +383,7 @@ def _drawn(limit: int) -> str:
   numbers as (select * from every union all select * from dense union all select * from sparse)"""
 
 
-def _train_pairs(limit: int) -> str:
+def _train_pair_steps(limit: int | None) -> str:
     return f"""{_WALK},
   ord as (select dataset, tip, row_number() over (partition by dataset order by tip) - 1 as o, count(*) over (partition by dataset) as n
     from tips where split = 'train'),
@@ -338,9 +391,27 @@ def _train_pairs(limit: int) -> str:
   {_drawn(limit)},
   ji as (select key, idx, cast(floor((1 + sqrt(1 + 8 * idx)) / 2) as bigint) as i from numbers),
   picked as (select key as dataset, a.tip as tip1, b.tip as tip2 from ji join ord b on b.dataset = key and b.o = i
-    join ord a on a.dataset = key and a.o = idx - i * (i - 1) // 2)
-  select p.dataset, tip1, tip2, {_hamming('x.seq', 'y.seq')} as hamming from picked p
-  join seqs x on x.dataset = p.dataset and x.name = tip1 and x.seq <> '' join seqs y on y.dataset = p.dataset and y.name = tip2 and y.seq <> ''"""
+    join ord a on a.dataset = key and a.o = idx - i * (i - 1) // 2),
+  train_pairs as (select p.dataset, tip1, tip2, {_hamming('x.seq', 'y.seq')} as hamming, x.seq as seq1, y.seq as seq2 from picked p
+  join seqs x on x.dataset = p.dataset and x.name = tip1 and x.seq <> '' join seqs y on y.dataset = p.dataset and y.name = tip2 and y.seq <> '')"""
+
+
+def _train_pairs(limit: int | None) -> str:
+    return f"{_train_pair_steps(limit)} select dataset, tip1, tip2, hamming from train_pairs"
+
+
+def _stem(name: str) -> str:
+    return f"""regexp_replace(regexp_replace({name}, '^hCoV-19', ''), '[/\\\\:*?"<>| ]', '', 'g')"""
+
+
+def _record(header: str, seq: str) -> str:
+    """A FASTA record of lines of 60 characters."""
+    return f"""'>' || {header} || chr(10) || regexp_replace({seq}, '(.{{60}})', '\\1' || chr(10), 'g') || case when length({seq}) % 60 = 0 then '' else chr(10) end"""
+
+
+def _pair_files(steps: str, source: str, kind: str) -> str:
+    return f"""select dataset, file_path, length(t) as n_chars, md5(t) as digest from ({steps} select dataset, '{kind}/' || {_stem('tip1')} || '__' || {_stem('tip2')} || '.fasta' as file_path,
+    {_record("tip1 || '|0'", 'seq1')} || {_record("tip2 || '|' || hamming", 'seq2')} as t from {source})"""
 
 
 def _clade_pair_steps(limit: int) -> str:
@@ -353,7 +424,7 @@ def _clade_pair_steps(limit: int) -> str:
   {_drawn(limit)},
   located as (select n.key as dataset, p.clade_root, n.idx - p.low as idx from numbers n join placed p on p.dataset = n.key and n.idx >= p.low and n.idx < p.low + p.pairs),
   ji as (select *, cast(floor((1 + sqrt(1 + 8 * idx)) / 2) as bigint) as i from located),
-  test_pairs as (select q.dataset, q.clade_root, a.tip as tip1, b.tip as tip2, {_hamming('x.seq', 'y.seq')} as hamming from ji q
+  test_pairs as (select q.dataset, q.clade_root, a.tip as tip1, b.tip as tip2, {_hamming('x.seq', 'y.seq')} as hamming, x.seq as seq1, y.seq as seq2 from ji q
     join ord b on b.dataset = q.dataset and b.clade_root = q.clade_root and b.o = q.i
     join ord a on a.dataset = q.dataset and a.clade_root = q.clade_root and a.o = q.idx - q.i * (q.i - 1) // 2
     join seqs x on x.dataset = q.dataset and x.name = a.tip and x.seq <> '' join seqs y on y.dataset = q.dataset and y.name = b.tip and y.seq <> '')"""
@@ -378,6 +449,24 @@ MUTATIONS = """,
     where json_type(n, '$.branch_attrs.mutations') = 'OBJECT'),
   muts as (select record_id, node_path, depth, gene, cast(e.key as bigint) as item_no, e.value->>'$' as entry from genes, json_each(l) as e
     where json_type(l) = 'ARRAY')"""
+#: A node's label: what the nodes before it in pre-order carry, and the nodes left by then, come before it.
+LABELS = f"""{NODES}{MUTATIONS},
+  raw as (select record_id, node_path, 1 as src, f.rowid as spot, f.key as field, f.value as v from nodes, json_each(n, '$.node_attrs') as f where json_type(n, '$.node_attrs') = 'OBJECT'
+    union all select record_id, node_path, 2, f.rowid, f.key, f.value from nodes, json_each(n, '$.attr') as f where json_type(n, '$.attr') = 'OBJECT'),
+  attrs as (select record_id, node_path, field, case when json_type(x) = 'VARCHAR' then x->>'$' else cast(x as varchar) end as value,
+      case when not wrapped then 'plain' when json_type(x) = 'VARCHAR' then 'text' else 'other' end as shape,
+      row_number() over (partition by record_id, node_path order by src, spot) - 1 as item_no
+    from (select *, json_type(v) = 'OBJECT' and json_exists(v, '$.value') as wrapped, case when json_type(v) = 'OBJECT' and json_exists(v, '$.value') then v->'$.value' else v end as x from raw)
+    where json_type(x) <> 'NULL'),
+  n_attr as (select record_id, node_path, count(*) as n from attrs group by 1, 2), n_mut as (select record_id, node_path, count(*) as n from muts group by 1, 2),
+  keyed as (select k.*, coalesce(a.n, 0) as n_attrs, coalesce(a.n, 0) + coalesce(m.n, 0) as carried, list_transform(string_split(k.node_path, '.'), lambda x: cast(x as bigint)) as k
+    from nodes k left join n_attr a using (record_id, node_path) left join n_mut m using (record_id, node_path)),
+  up(record_id, node_path, anc, carried) as (select record_id, node_path, node_path, carried from keyed union all
+    select record_id, node_path, regexp_replace(anc, '\\.\\d+$', ''), carried from up where contains(anc, '.')),
+  sizes as (select record_id, anc as node_path, sum(2 + carried) as size from up group by 1, 2),
+  labelled as (select record_id, node_path, no, depth, n, n_attrs, cast(pre as bigint) as pre, cast(pre + size - 1 as bigint) as post from (
+    select k.*, size, sum(1 + carried) over (partition by record_id order by k.k) - 1 - carried + row_number() over (partition by record_id order by k.k) - 1 - depth as pre
+    from keyed k join sizes using (record_id, node_path)))"""
 _WANTED = """,
   wanted as (select d.record_id, d.dataset, coalesce(a.gene, 'nuc') as gene, a.trim_begin, a.trim_end from docs d
     join (select distinct record_id from nodes) k using (record_id)
@@ -407,13 +496,21 @@ ORACLE = {
         join (values (0, 1), (1, 5), (5, 10), (10, 20), (20, 50), (50, 100), (100, 200), (200, 500), (500, 1000)) b(low, high)
         on l.hamming >= low and l.hamming < high group by 1, 2, 3""",
     "branches_tsv": f"""select dataset, concat_ws(chr(9), parent, child, coalesce(cast(hamming as varchar), '?'), coalesce(split, '')) as line from {_links()}""",
-    "walk_back": f"""{_WALK}, climbed as (select p.dataset, p.node, p.anc, p.hops, l.child is not null as has_parent,
-          sum(coalesce(l.hamming, 0)) over (partition by p.dataset, p.node order by p.hops) as gone,
-          coalesce(a.mutations_back, 5) as back from pairs p join tips t on t.dataset = p.dataset and t.tip = p.node
-          left join links l on l.dataset = p.dataset and l.child = p.anc
-          left join settings a on a.analysis = regexp_replace(p.dataset, '_\\d+$', ''))
-        select dataset, node as tip, coalesce(arg_min(anc, hops) filter (has_parent and gone >= back), arg_max(anc, hops)) as clade_root
-        from climbed group by 1, 2""",
+    "walk_back": f"{_WALK}{_WALKED} select * from walked",
+    "random_clade_split": f"""{_WALK}{_WALKED},
+        cfg as (select w.dataset, count(*) as n, greatest(1, cast(floor(count(*) * coalesce(any_value(a.test_proportion), 0.1)) as bigint)) as goal,
+          cast(floor(count(*) * coalesce(any_value(a.max_clade_proportion), 0.01)) as bigint) as cap, coalesce(any_value(a.seed), 42) as seed
+          from walked w left join settings a on a.analysis = regexp_replace(w.dataset, '_\\d+$', '') group by 1),
+        clades as (select p.dataset, p.anc as clade_root, list(p.node) as held from pairs p join tips t on t.dataset = p.dataset and t.tip = p.node group by 1, 2),
+        seeds as (select w.dataset, w.tip, w.clade_root, c.held, goal, cap, row_number() over (partition by w.dataset order by md5(seed || ':' || w.tip), w.tip) as turn
+          from walked w join cfg using (dataset) join clades c on c.dataset = w.dataset and c.clade_root = w.clade_root),
+        taken(dataset, turn, test, roots) as (select dataset, cast(0 as bigint), cast([] as varchar[]), cast([] as varchar[]) from cfg
+          union all select dataset, turn, case when ok then list_distinct(list_concat(test, held)) else test end, case when ok then list_append(roots, clade_root) else roots end
+          from (select t.dataset, s.turn, t.test, t.roots, s.held, s.clade_root, len(t.test) < s.goal and not list_contains(t.test, s.tip) and len(s.held) <= s.cap as ok
+            from taken t join seeds s on s.dataset = t.dataset and s.turn = t.turn + 1)),
+        roots2 as (select dataset, unnest(roots) as r from taken qualify row_number() over (partition by dataset order by turn desc) = 1)
+        select p.dataset, p.node, case when max(case when r is not null then 1 else 0 end) = 1 then 'test' else 'train' end as split
+        from pairs p left join roots2 x on x.dataset = p.dataset and x.r = p.anc group by 1, 2""",
     "monophyletic_split": f"""{_WALK}, goal as (select t.dataset, greatest(1, cast(floor(count(*) * coalesce(any_value(a.test_proportion), 0.1)) as bigint)) as target from tips t
           left join settings a on a.analysis = regexp_replace(t.dataset, '_\\d+$', '') group by 1),
         best as (select s.dataset, s.node from sizes s join goal g on g.dataset = s.dataset join walk w on w.dataset = s.dataset and w.node = s.node
@@ -428,10 +525,12 @@ ORACLE = {
           regexp_replace(s.seq, '(.{{60}})', '\\1' || chr(10), 'g') || case when length(s.seq) % 60 = 0 then '' else chr(10) end, '' order by pos) as t
         from frames f join seqs s on s.dataset = f.dataset and s.name = f.node group by 1, 2, 3)
         select dataset, split, regexp_replace(regexp_replace(tip, '^hCoV-19', ''), '[/\\\\:*?"<>| ]', '', 'g') || '.fasta' as file_name, length(t) as n_chars, md5(t) as digest from texts""",
-    "pairs_all": _train_pairs(TRAIN_LIMIT),
+    "pairs_all": _train_pairs(None),
+    "pair_files": f"""{_pair_files(_train_pair_steps(SAMPLE_LIMIT), 'train_pairs', 'pairwise-train')} union all
+        {_pair_files(_WALK + _clade_pair_steps(CLADE_SAMPLE_LIMIT), 'test_pairs', 'pairwise-test')}""",
     "pairs_sampled": _train_pairs(SAMPLE_LIMIT),
-    "pairs_within_clade": f"{_WALK}{_clade_pair_steps(TEST_LIMIT)} select * from test_pairs",
-    "pairs_sampled_by_clade": f"{_WALK}{_clade_pair_steps(CLADE_SAMPLE_LIMIT)} select * from test_pairs",
+    "pairs_within_clade": f"{_WALK}{_clade_pair_steps(TEST_LIMIT)} select dataset, clade_root, tip1, tip2, hamming from test_pairs",
+    "pairs_sampled_by_clade": f"{_WALK}{_clade_pair_steps(CLADE_SAMPLE_LIMIT)} select dataset, clade_root, tip1, tip2, hamming from test_pairs",
     "stop_filter_trim": """select seq_id, dataset, regexp_replace(name, '^hCoV-19/', '') as name,
         case when trim_begin is not null and trim_end is not null then substr(rtrim(seq, '*'), trim_begin, trim_end - trim_begin + 1) else rtrim(seq, '*') end as seq
         from alignment left join analyses on analysis = regexp_replace(dataset, '_\\d+$', '') where not contains(rtrim(seq, '*'), '*')""",
@@ -447,13 +546,16 @@ ORACLE = {
           min(distance) as min_distance, max(distance) as max_distance, sum(distance) as sum_distance, min(coalesce(depth, 0)) as min_depth,
           max(coalesce(depth, 0)) as max_depth, sum(coalesce(depth, 0)) as sum_depth from tips t join far using (dataset, tip) left join depth using (dataset, tip) group by 1),
         bs as (select dataset, {_STATS} from links group by 1),
-        ss as (select dataset, count(*) as n_sequences, max(length(seq)) as max_length from seqs where seq <> '' group by 1),
+        ss as (select dataset, count(*) as n_sequences from seqs where seq <> '' group by 1),
+        fl as (select dataset, arg_min(length(seq), seq_id) as sequence_length from alignment where dataset is not null and name is not null and seq <> '' group by 1),
+        trs as (select dataset, count(*) as train_pairs, min(hamming) as train_min, max(hamming) as train_max, cast(sum(hamming) as bigint) as train_sum from ({_train_pairs(TRAIN_LIMIT)}) group by 1),
         cs as (select dataset, count(distinct clade_root) as n_test_clades from members group by 1),
         ts as (select dataset, count(*) as test_pairs, min(hamming) as test_min, max(hamming) as test_max, sum(hamming) as test_sum from test_pairs group by 1)
         select dataset, n_tips, n_train, n_test, cast(min_distance as bigint) as min_distance, cast(max_distance as bigint) as max_distance, cast(sum_distance as bigint) as sum_distance,
           min_depth, max_depth, cast(sum_depth as bigint) as sum_depth, n_branches, n_zero, min_hamming, max_hamming, sum_hamming, n_missing, n_known, min_known,
-          n_sequences, max_length, n_test_clades, test_pairs, test_min, test_max, cast(test_sum as bigint) as test_sum
-        from ps join bs using (dataset) left join ss using (dataset) left join cs using (dataset) left join ts using (dataset)""",
+          coalesce(n_sequences, 0) as n_sequences, coalesce(sequence_length, 0) as sequence_length, coalesce(n_test_clades, 0) as n_test_clades,
+          coalesce(train_pairs, 0) as train_pairs, train_min, train_max, train_sum, coalesce(test_pairs, 0) as test_pairs, test_min, test_max, cast(test_sum as bigint) as test_sum
+        from ps join bs using (dataset) left join ss using (dataset) left join fl using (dataset) left join trs using (dataset) left join cs using (dataset) left join ts using (dataset)""",
     "dataset_upsert": f"""with ends as (select dataset, min(exported_at) as f, max(exported_at) as l from branches group by 1),
         old as (select b.* from branches b join ends e on e.dataset = b.dataset and b.exported_at = e.f),
         again as (select b.* from branches b join ends e on e.dataset = b.dataset and e.f < e.l)
@@ -488,6 +590,22 @@ ORACLE = {
         select record_id, field, coalesce(c->>'$.title', field) as title, s.value->>'$[0]' as value, arg_max(s.value->>'$[1]', cast(s.key as bigint)) as color
         from last, json_each(c, '$.scale') as s group by 1, 2, 3, 4""",
     "shard_assignment": f"""select dataset, kind, file_name, kind || '-' || lpad(cast((row_number() over (partition by dataset, kind order by md5('42:' || file_name), file_name) - 1) // 10 as varchar), 3, '0') || '.tar.zst' as shard from {_FILES}""",
+    "shard_sizes": f"""select dataset, shard, count(*) as n_files, cast(ceil((sum(512 + ceil(strlen(file_text) / 512.0) * 512) + 1024) / 10240.0) * 10240 as bigint) as n_raw from (
+        select dataset, file_text, kind || '-' || lpad(cast((row_number() over (partition by dataset, kind order by md5('42:' || file_name), file_name) - 1) // 10 as varchar), 3, '0') || '.tar.zst' as shard from {_FILES})
+        group by 1, 2""",
+    "alignment_fasta": f"""select seq_id, dataset, not starts_with(name, 'NODE_') as is_tip, length(t) as n_chars, md5(t) as digest from (select *, {_record('name', 'seq')} as t from (
+        select seq_id, dataset, regexp_replace(name, '^hCoV-19/', '') as name,
+          case when trim_begin is not null and trim_end is not null then substr(rtrim(seq, '*'), trim_begin, trim_end - trim_begin + 1) else rtrim(seq, '*') end as seq
+        from alignment left join analyses on analysis = regexp_replace(dataset, '_\\d+$', '') where not contains(rtrim(seq, '*'), '*') and name is not null))""",
+    "metadata_table": f"""{LABELS}, early as (select record_id, node_path from labelled qualify row_number() over (partition by record_id order by post) <= 100),
+        shown as (select distinct a.record_id, a.field from attrs a where shape <> 'plain' and (field in ('clade_membership', 'clade', 'S1_mutations', 'family_name')
+          or exists (select 1 from attrs g join early e on e.record_id = g.record_id and e.node_path = g.node_path where g.record_id = a.record_id and g.field = a.field and g.shape = 'text'))),
+        named as (select *, regexp_replace(coalesce(n->>'$.name', n->>'$.strain', ''), '^hCoV-19/', '') as name from labelled),
+        cells as (select n.record_id, n.node_path, n.post, n.name, coalesce(u.name, 'None') as parent, s.field, coalesce(a.value, '') as value from named n
+          left join named u on u.record_id = n.record_id and n.depth > 0 and u.node_path = regexp_replace(n.node_path, '\\.\\d+$', '')
+          left join shown s on s.record_id = n.record_id left join attrs a on a.record_id = n.record_id and a.node_path = n.node_path and a.field = s.field and a.shape <> 'plain')
+        select record_id, post as place, concat_ws(chr(9), any_value(name), any_value(parent), string_agg(case when field is not null then value end, chr(9) order by field)) as line from cells group by 1, 2
+        union all select record_id, -1, concat_ws(chr(9), 'name', 'parent', string_agg(field, chr(9) order by field)) from (select distinct record_id, field from cells) group by 1""",
     "fraction_sample": """select dataset, name from (select dataset, name, row_number() over (partition by dataset order by md5('42:' || name), name) as rn, count(*) over (partition by dataset) as n
         from (select distinct dataset, regexp_replace(name, '^hCoV-19/', '') as name from alignment where dataset is not null and length(seq) > 0
           and not starts_with(regexp_replace(name, '^hCoV-19/', ''), 'NODE_'))) where rn <= greatest(1, floor(n * 0.2))""",

@@ -84,8 +84,17 @@ def discover_subtrees(spark: SparkSession, base: str, families: list[str]) -> Da
     return found.where(family.isin(families)).select(F.concat_ws("_", F.concat(family, F.lit("-xs")), serial).alias("dataset"), "path")
 
 
-def read_analyses(spark: SparkSession, path: str) -> DataFrame:
-    """The settings `{"analysis": {name: {dataset, gene, trim_begin, ...}}}` of a JSON or YAML file as the analyses table."""
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    """dataset, entry (JSON text) of summary documents `{dataset: {...}}`, whole or one object a line; no files give no rows."""
+    rows = spark.read.text(path, wholetext=False).where("trim(value) <> ''") if not path.endswith(".json") else spark.read.text(path, wholetext=True)
+    return rows.select(F.explode(F.from_json("value", "map<string,string>")).alias("dataset", "entry"))
+
+
+def read_analyses(spark: SparkSession, path: str, targets: list[str] | None = None) -> DataFrame:
+    """The settings `{"analysis": {name: {dataset, gene, trim_begin, ...}}}` of a JSON or YAML file as the analyses table.
+
+    targets keeps only the analyses named; a name that isn't configured is an error.
+    """
     text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())  # one small file
     try:
         loaded = json.loads(text)
@@ -94,7 +103,11 @@ def read_analyses(spark: SparkSession, path: str) -> DataFrame:
 
         loaded = yaml.safe_load(text)
     rows = []
+    if unknown := set(targets or ()) - loaded["analysis"].keys():
+        raise ValueError(f"not configured: {sorted(unknown)}")
     for name, given in loaded["analysis"].items():
+        if targets is not None and name not in targets:
+            continue
         rows.append((name, given.get("dataset"), *(given.get(k) for k in SETTINGS)))
     types = ["string", "int", "int", "int", "double", "int", "double", "int"]
     return spark.createDataFrame(rows, "analysis string, dataset_url string, " + ", ".join(f"{k} {t}" for k, t in zip(SETTINGS, types)))

@@ -86,3 +86,27 @@ def test_streams(spark, tmp_path):
     query.awaitTermination(120)
     merge(spark.read.schema(arrivals.SCHEMA).parquet(str(folder)), 9)
     assert [r.file_id for r in spark.read.parquet(versions[-1]).collect()] == [3]
+
+
+def test_summary_round_trip(spark, tmp_path):
+    entries = spark.createDataFrame([('a"b', '{"n":1}'), ("c", '{"n":2,"m":{"k":1.5}}'), (None, "{}")], "dataset string, entry string")
+    writers.write_summary(entries, str(tmp_path / "summary"))
+    assert {tuple(r) for r in formats.read_summary(spark, str(tmp_path / "summary")).collect()} == {tuple(r) for r in entries.where("dataset is not null").collect()}
+    (tmp_path / "one.json").write_text(json.dumps({"x": {"n": 1}, "y": {}}, indent=2))
+    assert {r.dataset: json.loads(r.entry) for r in formats.read_summary(spark, str(tmp_path / "one.json")).collect()} == {"x": {"n": 1}, "y": {}}
+
+
+def test_fasta_and_metadata_files(spark, tmp_path):
+    records = spark.createDataFrame([(">a\nACGT\n",), (">b\nAC\n",), (">empty\n",)], "record string")
+    writers.write_fasta(records, str(tmp_path / "f"))
+    assert {(r.id, r.seq) for r in formats.read_fasta(spark, str(tmp_path / "f")).collect()} == {("a", "ACGT"), ("b", "AC"), ("empty", "")}
+    lines = spark.createDataFrame([(1, 5, "b"), (1, -1, "head"), (1, 2, "a"), (2, -1, "h2")], "record_id long, place long, line string")
+    writers.write_metadata(lines, str(tmp_path / "m"))
+    text = "".join(f.read_text() for f in sorted((tmp_path / "m" / "record_id=1").glob("*.txt")))
+    assert text.split() == ["head", "a", "b"]
+
+
+def test_files_by_address(spark, tmp_path):
+    rows = spark.createDataFrame([("d/a.fasta", "x")], "file_path string, content string")
+    writers.write_files(rows, f"file://{tmp_path}/out").collect()
+    assert (tmp_path / "out/d/a.fasta").read_text() == "x" and os.listdir(tmp_path / "out/d") == ["a.fasta"]

@@ -217,3 +217,71 @@ def test_deep_ladder(spark):
     tips = lineage.tips_of(links)
     assert lineage.walk_back(links, tips, settings(spark, mutations_back=15_000)).first().clade_root == "n005001"
     assert lineage.clade_membership(links, tips).first().clade_root == "n000001"
+
+
+def test_every_pair_without_a_limit(spark, tree, monkeypatch):
+    links, tips, _, alignment = tree
+    monkeypatch.setattr(pairs, "BLOCK", 2)
+    monkeypatch.setattr(pairs, "STRIDE", 4)
+    train = tips.where("split = 'train'")
+    named = {(r.tip1, r.tip2) for r in pairs.pairs_within(train, "dataset", "tip").collect()}
+    assert named == {(a, b) for a in "EFGH" for b in "EFGH" if a < b}
+    got = {(r.tip1, r.tip2): r.hamming for r in pairs.every_pair(train, ["dataset"], "tip", alignment).collect()}
+    assert got == {("E", "F"): 1, ("E", "G"): 1, ("E", "H"): 4, ("F", "G"): 0, ("F", "H"): 3, ("G", "H"): 3}
+    without = alignment.where("name <> 'F'")
+    assert {(r.tip1, r.tip2) for r in pairs.every_pair(train, ["dataset"], "tip", without).collect()} == {p for p in got if "F" not in p}
+    members = lineage.clade_membership(links, tips)
+    assert [(r.clade_root, r.tip1, r.tip2, r.hamming) for r in pairs.every_pair(members, ["dataset", "clade_root"], "tip", alignment).collect()] == [("x", "Y", "Z", 2)]
+    assert pairs.pairs_within_clades(members).count() == 1
+    assert pairs.every_pair(train.limit(0), ["dataset"], "tip", alignment).count() == 0
+    with pytest.raises(ValueError):
+        pairs.pairs_within(train, "dataset", "tip", -1)
+
+
+def test_pair_files(spark, tree):
+    rows = spark.createDataFrame([("t_0001", "hCoV-19/A b", "E", 4, "A" * 61, "")], "dataset string, tip1 string, tip2 string, hamming int, seq1 string, seq2 string")
+    made = pairs.pair_files(rows, "pairwise-test").first()
+    assert made.file_path == "pairwise-test/Ab__E.fasta"
+    assert made.content == ">hCoV-19/A b|0\n" + "A" * 60 + "\nA\n>E|4\n"
+    kept = pairs.with_sequences(pairs.pairs_within(tree[1].where("split = 'test'"), "dataset", "tip", 9), tree[3], keep=True).first()
+    assert (kept.seq1, kept.seq2, kept.hamming) == (SEQUENCES["Y"], SEQUENCES["Z"], 2)
+
+
+def test_merge_keeps_other_columns(spark):
+    old = spark.createDataFrame([("a", 1, 5), ("b", 2, 6)], "dataset string, n int, m int")
+    new = spark.createDataFrame([("b", None, 7), ("c", 4, 8)], "dataset string, n int, k int")
+    got = {r.dataset: (r.n, r.m, r.k) for r in summaries.merge(old, new).collect()}
+    assert got == {"a": (1, 5, None), "b": (None, 6, 7), "c": (4, None, 8)}
+
+
+def test_summary_entries(spark):
+    names = "n_tips n_train n_test min_distance max_distance sum_distance min_depth max_depth sum_depth n_branches n_zero min_hamming max_hamming sum_hamming".split()
+    names += "n_sequences sequence_length n_test_clades train_pairs train_min train_max train_sum test_pairs test_min test_max test_sum".split()
+    values = [6, 4, 2, 1, 3, 11, 2, 4, 18, 10, 3, 0, 2, 8, 11, 8, 1, 6, 0, 4, 12, 0, None, None, None]
+    row = spark.createDataFrame([("t_0001", *values)], "dataset string, " + ", ".join(f"{n} long" for n in names))
+    urls = spark.createDataFrame([("t_0001", "u")], "dataset string, url string")
+    got = json.loads(summaries.entries(row, urls).first().entry)
+    assert got["url"] == "u" and got["hamming_from_root"] == {"min": 1, "max": 3, "mean": 1.83} and got["pairwise_train_hamming"]["mean"] == 2.0
+    assert got["pairwise_test_pairs"] == 0 and "pairwise_test_hamming" not in got
+
+
+def test_metadata_lines(spark):
+    document = {"strain": "hCoV-19/r", "attr": {"k": {"value": "x"}, "div": 1}, "children": [{"name": "a", "node_attrs": {"clade": {"value": 2}, "j": {"value": "y\u00e9"}}}, {"name": "NODE_2", "node_attrs": {"late": {"value": 3}}}]}
+    df = spark.createDataFrame([(1, json.dumps(document)), (2, '{"name":"alone"}'), (3, "{"), (4, None)], "record_id long, tree_json string")
+    lines = {}
+    for r in documents.metadata_lines(df).orderBy("record_id", "place").collect():
+        lines.setdefault(r.record_id, []).append(r.line)
+    assert lines[1] == ["name\tparent\tclade\tj\tk", "a\tr\t2\ty\u00e9\t", "NODE_2\tr\t\t\t", "r\tNone\t\t\tx"]
+    assert lines[2] == ["name\tparent", "alone\tNone"] and set(lines) == {1, 2}
+    assert documents.metadata_lines(df.limit(0)).count() == 0
+    fields = {r.field for r in documents.metadata_fields(df, None).where("record_id = 1").collect()}
+    assert fields == {"clade", "j", "k"}
+
+
+def test_sequences_of_odd_documents(spark):
+    node = lambda name, muts, *children: {"name": name, "branch_attrs": {"mutations": muts}, "children": list(children)}
+    deep = node("r", {"nuc": ["A1T"]}, node("a", {"nuc": ["A1C", "A1G", "x", "", 5, None, "A99C", "A 2 T", "A+3C"], "S": ["A4T"]}, node("b", {"nuc": ["G1A"]}), None, node("c", "odd")), node("d", {"nuc": "odd"}))
+    df = spark.createDataFrame([(1, "t_1", json.dumps({"version": "v2", "root_sequence": {"nuc": "AAAA"}, "tree": deep})), (2, "t_2", "{")], "record_id long, dataset string, tree_json string")
+    side = spark.createDataFrame([], "dataset string, gene string, seq string")
+    got = {r.node_path: r.seq for r in documents.reconstructed_sequences(df, side, settings(spark)).collect()}
+    assert got == {"0": "AAAA", "0.0": "GTCA", "0.0.0": "ATCA", "0.0.2": "GTCA", "0.1": "AAAA"}

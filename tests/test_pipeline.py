@@ -26,7 +26,9 @@ def test_from_documents(spark):
     frames = made.frames().where("tip = 'E'").orderBy("pos").collect()
     assert [(r.node, r.cum_dist) for r in frames] == [("d", 0), ("E", 1)]
     assert [{r.tip1, r.tip2} for r in made.test_pairs(10).collect()] == [{"E", "F"}]
-    assert made.train_pairs(100).count() == 6
+    assert made.train_pairs(100).count() == made.train_pairs().count() == 6
+    assert {r.name for r in made.alignment_records(tips_only=True).collect()} == set("EFGHYZ")
+    assert made.alignment_records().where("name = 'E'").first().record == ">E\nCGTAAAAA\n"
     with pytest.raises(ValueError):
         pipeline.provision(auspice, side, cfg, "other")
     labelled = documents.annotated_documents(auspice, made.splits)
@@ -64,6 +66,9 @@ def test_settings_and_sources(spark, tmp_path):
     (tmp_path / "c.json").write_text(json.dumps({"analysis": {"a-xs": {"dataset": "x", "gene": "nuc", "trim_begin": 1}}}))
     row = formats.read_analyses(spark, str(tmp_path / "c.json")).first()
     assert (row.analysis, row.gene, row.trim_begin, row.seed) == ("a-xs", "nuc", 1, None)
+    assert formats.read_analyses(spark, str(tmp_path / "c.json"), ["a-xs"]).count() == 1 and formats.read_analyses(spark, str(tmp_path / "c.json"), []).count() == 0
+    with pytest.raises(ValueError):
+        formats.read_analyses(spark, str(tmp_path / "c.json"), ["none"])
     assert formats.resolve_source("s3://b/k") == "s3a://b/k" and formats.resolve_source("file:///x") == "file:///x"
     with pytest.raises(ValueError):
         formats.resolve_source("https://x")

@@ -247,6 +247,11 @@ def test_shards(spark):
         with tarfile.open(fileobj=io.BytesIO(raw)) as tar:
             held |= {m.name: tar.extractfile(m).read().decode() for m in tar}
     assert held == {r[3]: r[4] for r in rows}
+    payloads = shards.shard_payloads(df, assigned)
+    totals = shards.shard_totals(payloads).first()
+    assert (totals.n_shards, totals.n_files) == (3, 25) and totals.ratio == totals.raw_bytes / totals.packed_bytes
+    assert shards.shard_totals(payloads.withColumn("payload", F.lit(b""))).first().ratio == 0
+    assert shards.shard_assignment(df, 42, 100, flat=True).first().shard == "trajectories-000.tar.zst"
     with pytest.raises(ValueError):
         shards.shard_assignment(df, 42, 0)
 
