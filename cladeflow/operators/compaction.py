@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from cladeflow.session import fresh_path, remove, rename
 
-#: Further passes, up to CORRECTIONS, correct the partition size if mean file size is off the target by more than this factor.
+#: Up to CORRECTIONS further passes correct the partition size if mean file size is off the target by more than this factor.
 TOLERANCE = 1.5
-CORRECTIONS = 2
+CORRECTIONS = 1
 
 
 def current_files(df: DataFrame, kinds: list[str]) -> DataFrame:

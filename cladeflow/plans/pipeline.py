@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cladeflow.functions.names import clean_name
 from cladeflow.functions.sequences import fasta_record, has_inner_stop, strip_stops, trim
 from cladeflow.operators import documents, lineage, nested, pairs, random_clades
+from cladeflow.plans.reference import FRAMES, LABELS, MONOPHYLETIC, MUTATION_COUNTS, NODE_SEQUENCES, RANDOM_CLADES, WALKED, hamming, walk
 from cladeflow.session import written
 from cladeflow.sources.tables import table
 
@@ -105,4 +106,33 @@ def provisioned_documents(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (provisioned_branches, provisioned_frames, provisioned_documents)}
-ORACLE: dict[str, str] = {}
+#: Each dataset's current document, its named nodes and their branches with mutations counted; no labels yet.
+_CURRENT = """current as (select a.record_id, a.dataset from auspice a where a.dataset is not null and a.record_id in (select record_id from nodes)
+    qualify row_number() over (partition by a.dataset order by fetched_at desc nulls last, a.record_id desc) = 1)"""
+_COUNTED = f"""(select dataset, parent, child, hamming, cast(null as varchar) as split from (select * from ({LABELS}, {_CURRENT},
+    named as (select l.record_id, c.dataset, l.node_path, l.depth, l.pre, regexp_replace(coalesce(n->>'$.name', n->>'$.strain', ''), '^hCoV-19/', '') as name
+      from labelled l join current c using (record_id) where coalesce(n->>'$.name', n->>'$.strain', '') <> ''),
+    counts as ({MUTATION_COUNTS})
+    select v.dataset, u.name as parent, v.name as child, cast(coalesce(k.n_counted, 0) as integer) as hamming from named v
+    join named u on u.record_id = v.record_id and v.depth > 0 and u.node_path = regexp_replace(v.node_path, '\\.\\d+$', '')
+    left join counts k on k.record_id = v.record_id and k.node_path = v.node_path
+    qualify row_number() over (partition by v.dataset, v.name order by v.pre desc) = 1)) where parent <> child)"""
+_TRIMMED = f"""select dataset, name, arg_max(seq, pre) as seq from (select * from ({LABELS}, {_CURRENT}, whole as ({NODE_SEQUENCES})
+    select c.dataset, regexp_replace(w.name, '^hCoV-19/', '') as name, l.pre,
+      case when trim_begin is not null and trim_end is not null then substr(rtrim(w.seq, '*'), trim_begin, trim_end - trim_begin + 1) else rtrim(w.seq, '*') end as seq
+    from whole w join current c on c.record_id = w.record_id join labelled l on l.record_id = w.record_id and l.node_path = w.node_path
+    left join analyses a on a.analysis = regexp_replace(c.dataset, '_\\d+$', '') where w.name <> '' and not contains(rtrim(w.seq, '*'), '*'))) group by 1, 2"""
+
+
+def _labelled(steps: str) -> str:
+    """The branches with the splits that the steps make, and distances from the sequences."""
+    return f"""(select * from ({walk(_COUNTED, _TRIMMED)}{steps} select l.dataset, l.parent, l.child,
+      case when a.seq is not null and b.seq is not null then {hamming('upper(b.seq)', 'upper(a.seq)')} end as hamming, s.split from links l
+    left join splits s on s.dataset = l.dataset and s.node = l.child
+    left join seqs a on a.dataset = l.dataset and a.name = l.child left join seqs b on b.dataset = l.dataset and b.name = l.parent))"""
+
+
+ORACLE = {
+    "provisioned_branches": f"select * from {_labelled(WALKED + RANDOM_CLADES)}",
+    "provisioned_frames": f"{walk(_labelled(MONOPHYLETIC), _TRIMMED)}{FRAMES} select dataset, split, tip, pos, node, cast(cum_dist as bigint) as cum_dist from frames",
+}

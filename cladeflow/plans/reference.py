@@ -322,10 +322,19 @@ def _links(source: str = "branches") -> str:
     hamming desc nulls last, split desc nulls last) = 1)"""
 
 
-_BASE = f"""with recursive links as {_links()},
+_CURRENT_SEQUENCES = """select dataset, regexp_replace(name, '^hCoV-19/', '') as name, arg_max(seq, seq_id) as seq from alignment
+    where dataset is not null and name is not null and seq is not null group by 1, 2"""
+
+
+def base(links: str) -> str:
+    return f"""with recursive links as {links},
   tips as (select dataset, child as tip, coalesce(split, 'train') as split from links l
     where not exists (select 1 from links p where p.dataset = l.dataset and p.parent = l.child))"""
-_WALK = f"""{_BASE},
+
+
+def walk(links: str, sequences: str = _CURRENT_SEQUENCES) -> str:
+    """Trees of links and everything that hangs on their paths."""
+    return f"""{base(links)},
   walk(dataset, node, path) as (
     select distinct dataset, parent, [parent] from links l
       where not exists (select 1 from links p where p.dataset = l.dataset and p.child = l.parent)
@@ -334,8 +343,7 @@ _WALK = f"""{_BASE},
   sizes as (select p.dataset, p.anc as node, count(t.tip) as n_tips, count(*) as n_nodes from pairs p
     left join tips t on t.dataset = p.dataset and t.tip = p.node group by 1, 2),
   settings as (select * from analyses),
-  seqs as (select dataset, regexp_replace(name, '^hCoV-19/', '') as name, arg_max(seq, seq_id) as seq from alignment
-    where dataset is not null and name is not null and seq is not null group by 1, 2),
+  seqs as ({sequences}),
   roots as (select l.dataset, l.child as clade_root from links l left join links p on p.dataset = l.dataset and p.child = l.parent
     where l.split = 'test' and coalesce(p.split, 'train') = 'train'),
   members as (select p.dataset, p.node as tip, arg_min(p.anc, p.hops) as clade_root from pairs p
@@ -343,13 +351,16 @@ _WALK = f"""{_BASE},
     join roots r on r.dataset = p.dataset and r.clade_root = p.anc group by 1, 2)"""
 
 
-def _hamming(a: str, b: str) -> str:
+_BASE, _WALK = base(_links()), walk(_links())
+
+
+def hamming(a: str, b: str) -> str:
     """Each position's two letters as one string, those equal or masked dropped."""
     return f"""len(list_filter(range(1, least(length({a}), length({b})) + 1),
       lambda i: {a}[i] <> {b}[i] and {a}[i] not in ('-', 'N') and {b}[i] not in ('-', 'N')))"""
 
 
-_FRAMES = """,
+FRAMES = """,
   marked as (select p.*, t.split as tip_split, l.split as anc_split, coalesce(l.hamming, 0) as d0 from pairs p
     join tips t on t.dataset = p.dataset and t.tip = p.node left join links l on l.dataset = p.dataset and l.child = p.anc),
   cut as (select *, max(case when tip_split = 'test' and anc_split = 'test' then hops end) over (partition by dataset, node) as first from marked),
@@ -358,7 +369,7 @@ _FRAMES = """,
     sum(case when hops = top then 0 else d0 end) over (partition by dataset, node order by hops desc rows unbounded preceding) as cum_dist from kept),
   frames as (select g.dataset, tip_split as split, g.node as tip, top - hops as pos, anc as node, cum_dist from gone g
     join seqs s on s.dataset = g.dataset and s.name = g.anc and s.seq <> '' where hops = top or hops = 0 or d > 0)"""
-_WALKED = """,
+WALKED = """,
   climbed as (select p.dataset, p.node, p.anc, p.hops, l.child is not null as has_parent,
     sum(coalesce(l.hamming, 0)) over (partition by p.dataset, p.node order by p.hops) as gone,
     coalesce(a.mutations_back, 5) as back from pairs p join tips t on t.dataset = p.dataset and t.tip = p.node
@@ -366,6 +377,27 @@ _WALKED = """,
     left join settings a on a.analysis = regexp_replace(p.dataset, '_\\d+$', '')),
   walked as (select dataset, node as tip, coalesce(arg_min(anc, hops) filter (has_parent and gone >= back), arg_max(anc, hops)) as clade_root
     from climbed group by 1, 2)"""
+RANDOM_CLADES = """,
+        cfg as (select w.dataset, count(*) as n, greatest(1, cast(floor(count(*) * coalesce(any_value(a.test_proportion), 0.1)) as bigint)) as goal,
+          cast(floor(count(*) * coalesce(any_value(a.max_clade_proportion), 0.01)) as bigint) as cap, coalesce(any_value(a.seed), 42) as seed
+          from walked w left join settings a on a.analysis = regexp_replace(w.dataset, '_\\d+$', '') group by 1),
+        clades as (select p.dataset, p.anc as clade_root, list(p.node) as held from pairs p join tips t on t.dataset = p.dataset and t.tip = p.node group by 1, 2),
+        seeds as (select w.dataset, w.tip, w.clade_root, c.held, goal, cap, row_number() over (partition by w.dataset order by md5(seed || ':' || w.tip), w.tip) as turn
+          from walked w join cfg using (dataset) join clades c on c.dataset = w.dataset and c.clade_root = w.clade_root),
+        taken(dataset, turn, test, roots) as (select dataset, cast(0 as bigint), cast([] as varchar[]), cast([] as varchar[]) from cfg
+          union all select dataset, turn, case when ok then list_distinct(list_concat(test, held)) else test end, case when ok then list_append(roots, clade_root) else roots end
+          from (select t.dataset, s.turn, t.test, t.roots, s.held, s.clade_root, len(t.test) < s.goal and not list_contains(t.test, s.tip) and len(s.held) <= s.cap as ok
+            from taken t join seeds s on s.dataset = t.dataset and s.turn = t.turn + 1)),
+        roots2 as (select dataset, unnest(roots) as r from taken qualify row_number() over (partition by dataset order by turn desc) = 1),
+        splits as (select p.dataset, p.node, case when max(case when r is not null then 1 else 0 end) = 1 then 'test' else 'train' end as split
+        from pairs p left join roots2 x on x.dataset = p.dataset and x.r = p.anc group by 1, 2)"""
+MONOPHYLETIC = """, goal as (select t.dataset, greatest(1, cast(floor(count(*) * coalesce(any_value(a.test_proportion), 0.1)) as bigint)) as target from tips t
+          left join settings a on a.analysis = regexp_replace(t.dataset, '_\\d+$', '') group by 1),
+        best as (select s.dataset, s.node from sizes s join goal g on g.dataset = s.dataset join walk w on w.dataset = s.dataset and w.node = s.node
+          where n_tips >= target * 0.5 and n_tips <= target * 1.5
+          qualify row_number() over (partition by s.dataset order by abs(n_tips - target), w.path) = 1),
+        splits as (select p.dataset, p.node, case when max(case when b.node is not null then 1 else 0 end) = 1 then 'test' else 'train' end as split
+        from pairs p left join best b on b.dataset = p.dataset and b.node = p.anc group by 1, 2)"""
 _NUMBER = "('0x' || substr(md5('42:' || key || ':' || d), 1, 15))::bigint % total"
 
 
@@ -392,7 +424,7 @@ def _train_pair_steps(limit: int | None) -> str:
   ji as (select key, idx, cast(floor((1 + sqrt(1 + 8 * idx)) / 2) as bigint) as i from numbers),
   picked as (select key as dataset, a.tip as tip1, b.tip as tip2 from ji join ord b on b.dataset = key and b.o = i
     join ord a on a.dataset = key and a.o = idx - i * (i - 1) // 2),
-  train_pairs as (select p.dataset, tip1, tip2, {_hamming('x.seq', 'y.seq')} as hamming, x.seq as seq1, y.seq as seq2 from picked p
+  train_pairs as (select p.dataset, tip1, tip2, {hamming('x.seq', 'y.seq')} as hamming, x.seq as seq1, y.seq as seq2 from picked p
   join seqs x on x.dataset = p.dataset and x.name = tip1 and x.seq <> '' join seqs y on y.dataset = p.dataset and y.name = tip2 and y.seq <> '')"""
 
 
@@ -424,7 +456,7 @@ def _clade_pair_steps(limit: int) -> str:
   {_drawn(limit)},
   located as (select n.key as dataset, p.clade_root, n.idx - p.low as idx from numbers n join placed p on p.dataset = n.key and n.idx >= p.low and n.idx < p.low + p.pairs),
   ji as (select *, cast(floor((1 + sqrt(1 + 8 * idx)) / 2) as bigint) as i from located),
-  test_pairs as (select q.dataset, q.clade_root, a.tip as tip1, b.tip as tip2, {_hamming('x.seq', 'y.seq')} as hamming, x.seq as seq1, y.seq as seq2 from ji q
+  test_pairs as (select q.dataset, q.clade_root, a.tip as tip1, b.tip as tip2, {hamming('x.seq', 'y.seq')} as hamming, x.seq as seq1, y.seq as seq2 from ji q
     join ord b on b.dataset = q.dataset and b.clade_root = q.clade_root and b.o = q.i
     join ord a on a.dataset = q.dataset and a.clade_root = q.clade_root and a.o = q.idx - q.i * (q.i - 1) // 2
     join seqs x on x.dataset = q.dataset and x.name = a.tip and x.seq <> '' join seqs y on y.dataset = q.dataset and y.name = b.tip and y.seq <> '')"""
@@ -479,6 +511,20 @@ _ROOTS = _WANTED + """,
 _POSITION = "try_cast(case when regexp_full_match(substr(entry, 2, greatest(length(entry) - 2, 0)), '[+-]?\\d+') then substr(entry, 2, greatest(length(entry) - 2, 0)) end as integer)"
 _PARENT = "regexp_replace(node_path, '\\.\\d+$', '')"
 
+NODE_SEQUENCES = f"""{NODES}{MUTATIONS}{_ROOTS},
+        up(record_id, node_path, anc, hops) as (select record_id, node_path, node_path, 0 from nodes union all
+          select record_id, node_path, regexp_replace(anc, '\\.\\d+$', ''), hops + 1 from up where contains(anc, '.')),
+        hits as (select u.record_id, u.node_path, {_POSITION} as pos, right(entry, 1) as base, hops, item_no from up u
+          join muts m on m.record_id = u.record_id and m.node_path = u.anc and m.depth > 0 join roots r on r.record_id = m.record_id and r.gene = m.gene and r.seq is not null),
+        last as (select record_id, node_path, map(list(pos), list(base)) as c from (select * from hits where pos is not null
+          qualify row_number() over (partition by record_id, node_path, pos order by hops, item_no desc) = 1) group by 1, 2)
+        select n.record_id, n.node_path, coalesce(n.n->>'$.name', n.n->>'$.strain', '') as name, case when c is null then r.seq else
+          array_to_string(list_transform(range(1, length(r.seq) + 1), lambda i: coalesce(c[cast(i as integer)], r.seq[i])), '') end as seq
+        from nodes n join roots r on r.record_id = n.record_id and r.seq is not null left join last l on l.record_id = n.record_id and l.node_path = n.node_path"""
+MUTATION_COUNTS = f"""{NODES}{MUTATIONS}{_WANTED} select m.record_id, node_path, count(*) as n_entries,
+        count(*) filter (trim_begin is null or trim_end is null or coalesce({_POSITION} between trim_begin and trim_end, false)) as n_counted
+        from muts m join wanted w on w.record_id = m.record_id and w.gene = m.gene group by 1, 2"""
+
 ORACLE = {
     "edges": f"select * from {_links()}",
     "tips": f"{_BASE} select * from tips",
@@ -489,39 +535,20 @@ ORACLE = {
         select dataset, node, preorder, preorder + n_nodes - len(path) as postorder from sized""",
     "clade_tip_count": f"{_WALK} select * from sizes",
     "branch_hamming": f"""{_WALK} select l.dataset, l.parent, l.child, case when a.seq is not null and b.seq is not null then
-        {_hamming('upper(b.seq)', 'upper(a.seq)')} end as hamming, l.split from links l
+        {hamming('upper(b.seq)', 'upper(a.seq)')} end as hamming, l.split from links l
         left join seqs a on a.dataset = l.dataset and a.name = l.child left join seqs b on b.dataset = l.dataset and b.name = l.parent""",
     "branch_stats": f"select dataset, {_STATS} from {_links()} group by 1",
     "branch_histogram": f"""select dataset, low, high, count(*) as n from {_links()} l
         join (values (0, 1), (1, 5), (5, 10), (10, 20), (20, 50), (50, 100), (100, 200), (200, 500), (500, 1000)) b(low, high)
         on l.hamming >= low and l.hamming < high group by 1, 2, 3""",
     "branches_tsv": f"""select dataset, concat_ws(chr(9), parent, child, coalesce(cast(hamming as varchar), '?'), coalesce(split, '')) as line from {_links()}""",
-    "walk_back": f"{_WALK}{_WALKED} select * from walked",
-    "random_clade_split": f"""{_WALK}{_WALKED},
-        cfg as (select w.dataset, count(*) as n, greatest(1, cast(floor(count(*) * coalesce(any_value(a.test_proportion), 0.1)) as bigint)) as goal,
-          cast(floor(count(*) * coalesce(any_value(a.max_clade_proportion), 0.01)) as bigint) as cap, coalesce(any_value(a.seed), 42) as seed
-          from walked w left join settings a on a.analysis = regexp_replace(w.dataset, '_\\d+$', '') group by 1),
-        clades as (select p.dataset, p.anc as clade_root, list(p.node) as held from pairs p join tips t on t.dataset = p.dataset and t.tip = p.node group by 1, 2),
-        seeds as (select w.dataset, w.tip, w.clade_root, c.held, goal, cap, row_number() over (partition by w.dataset order by md5(seed || ':' || w.tip), w.tip) as turn
-          from walked w join cfg using (dataset) join clades c on c.dataset = w.dataset and c.clade_root = w.clade_root),
-        taken(dataset, turn, test, roots) as (select dataset, cast(0 as bigint), cast([] as varchar[]), cast([] as varchar[]) from cfg
-          union all select dataset, turn, case when ok then list_distinct(list_concat(test, held)) else test end, case when ok then list_append(roots, clade_root) else roots end
-          from (select t.dataset, s.turn, t.test, t.roots, s.held, s.clade_root, len(t.test) < s.goal and not list_contains(t.test, s.tip) and len(s.held) <= s.cap as ok
-            from taken t join seeds s on s.dataset = t.dataset and s.turn = t.turn + 1)),
-        roots2 as (select dataset, unnest(roots) as r from taken qualify row_number() over (partition by dataset order by turn desc) = 1)
-        select p.dataset, p.node, case when max(case when r is not null then 1 else 0 end) = 1 then 'test' else 'train' end as split
-        from pairs p left join roots2 x on x.dataset = p.dataset and x.r = p.anc group by 1, 2""",
-    "monophyletic_split": f"""{_WALK}, goal as (select t.dataset, greatest(1, cast(floor(count(*) * coalesce(any_value(a.test_proportion), 0.1)) as bigint)) as target from tips t
-          left join settings a on a.analysis = regexp_replace(t.dataset, '_\\d+$', '') group by 1),
-        best as (select s.dataset, s.node from sizes s join goal g on g.dataset = s.dataset join walk w on w.dataset = s.dataset and w.node = s.node
-          where n_tips >= target * 0.5 and n_tips <= target * 1.5
-          qualify row_number() over (partition by s.dataset order by abs(n_tips - target), w.path) = 1)
-        select p.dataset, p.node, case when max(case when b.node is not null then 1 else 0 end) = 1 then 'test' else 'train' end as split
-        from pairs p left join best b on b.dataset = p.dataset and b.node = p.anc group by 1, 2""",
+    "walk_back": f"{_WALK}{WALKED} select * from walked",
+    "random_clade_split": f"{_WALK}{WALKED}{RANDOM_CLADES} select * from splits",
+    "monophyletic_split": f"{_WALK}{MONOPHYLETIC} select * from splits",
     "clade_roots": f"{_WALK} select * from roots",
     "clade_membership": f"{_WALK} select * from members",
-    "forward_frames": f"{_WALK}{_FRAMES} select dataset, split, tip, pos, node, cast(cum_dist as bigint) as cum_dist from frames",
-    "fasta_render": f"""{_WALK}{_FRAMES}, texts as (select f.dataset, f.split, f.tip, string_agg('>' || f.node || '|' || cast(cum_dist as bigint) || chr(10) ||
+    "forward_frames": f"{_WALK}{FRAMES} select dataset, split, tip, pos, node, cast(cum_dist as bigint) as cum_dist from frames",
+    "fasta_render": f"""{_WALK}{FRAMES}, texts as (select f.dataset, f.split, f.tip, string_agg('>' || f.node || '|' || cast(cum_dist as bigint) || chr(10) ||
           regexp_replace(s.seq, '(.{{60}})', '\\1' || chr(10), 'g') || case when length(s.seq) % 60 = 0 then '' else chr(10) end, '' order by pos) as t
         from frames f join seqs s on s.dataset = f.dataset and s.name = f.node group by 1, 2, 3)
         select dataset, split, regexp_replace(regexp_replace(tip, '^hCoV-19', ''), '[/\\\\:*?"<>| ]', '', 'g') || '.fasta' as file_name, length(t) as n_chars, md5(t) as digest from texts""",
@@ -539,7 +566,7 @@ ORACLE = {
         from (select * replace (regexp_replace(name, '^hCoV-19/', '') as name) from metadata where dataset is not null and name is not null)
         qualify row_number() over (partition by dataset, name order by exported_at desc nulls last, parent desc nulls last, clade_membership desc nulls last,
           clade desc nulls last, country desc nulls last, collection_date desc nulls last, family_name desc nulls last, S1_mutations desc nulls last) = 1""",
-    "summary": f"""{_WALK}{_FRAMES}{_clade_pair_steps(TEST_LIMIT)},
+    "summary": f"""{_WALK}{FRAMES}{_clade_pair_steps(TEST_LIMIT)},
         depth as (select dataset, tip, count(*) as depth from frames group by 1, 2),
         far as (select dataset, node as tip, cum_dist as distance from gone where hops = 0),
         ps as (select t.dataset, count(*) as n_tips, count(*) filter (t.split <> 'test') as n_train, count(*) filter (t.split = 'test') as n_test,
@@ -562,19 +589,8 @@ ORACLE = {
         select dataset, {_STATS} from {_links('again')} group by 1 union all
         select dataset, {_STATS} from {_links('old')} where dataset not in (select dataset from again) group by 1""",
     "root_sequences": f"{NODES}{_ROOTS} select record_id, gene, seq, case when seq is null then null when side then 'sidecar' else 'document' end as origin from roots",
-    "node_sequences": f"""{NODES}{MUTATIONS}{_ROOTS},
-        up(record_id, node_path, anc, hops) as (select record_id, node_path, node_path, 0 from nodes union all
-          select record_id, node_path, regexp_replace(anc, '\\.\\d+$', ''), hops + 1 from up where contains(anc, '.')),
-        hits as (select u.record_id, u.node_path, {_POSITION} as pos, right(entry, 1) as base, hops, item_no from up u
-          join muts m on m.record_id = u.record_id and m.node_path = u.anc and m.depth > 0 join roots r on r.record_id = m.record_id and r.gene = m.gene and r.seq is not null),
-        last as (select record_id, node_path, map(list(pos), list(base)) as c from (select * from hits where pos is not null
-          qualify row_number() over (partition by record_id, node_path, pos order by hops, item_no desc) = 1) group by 1, 2)
-        select n.record_id, n.node_path, coalesce(n.n->>'$.name', n.n->>'$.strain', '') as name, case when c is null then r.seq else
-          array_to_string(list_transform(range(1, length(r.seq) + 1), lambda i: coalesce(c[cast(i as integer)], r.seq[i])), '') end as seq
-        from nodes n join roots r on r.record_id = n.record_id and r.seq is not null left join last l on l.record_id = n.record_id and l.node_path = n.node_path""",
-    "mutation_count_region": f"""{NODES}{MUTATIONS}{_WANTED} select m.record_id, node_path, count(*) as n_entries,
-        count(*) filter (trim_begin is null or trim_end is null or coalesce({_POSITION} between trim_begin and trim_end, false)) as n_counted
-        from muts m join wanted w on w.record_id = m.record_id and w.gene = m.gene group by 1, 2""",
+    "node_sequences": NODE_SEQUENCES,
+    "mutation_count_region": MUTATION_COUNTS,
     "metadata_fields": f"""{NODES}, keyed as (select record_id, node_path, n, list_transform(string_split(node_path, '.'), lambda x: cast(x as bigint)) as k from nodes),
         early as (select record_id, node_path from keyed qualify row_number() over (partition by record_id order by list_append(k, 9223372036854775807)) <= 100),
         fields as (select record_id, node_path, f.key as field, json_type(f.value, '$.value') as kind from nodes, json_each(n, '$.node_attrs') as f

@@ -205,6 +205,15 @@ def test_cycles_against_naive(spark, seed):
     assert got == naive_cycles(links)
 
 
+def test_cycles_of_a_dense_core(spark):
+    """Strong components in which every node has several parents or children, with one-way links between them."""
+    rng = random.Random(9)
+    links = [(f"{c}{rng.randrange(60)}", f"{c}{rng.randrange(60)}") for c in "abc" for _ in range(180)]
+    links += [(f"a{k}", f"d{k % 7}") for k in range(30)] + [(f"d{k}", f"b{k}") for k in range(7) for _ in range(2)] + [(f"d{k}", f"c{k + 1}") for k in range(7)]
+    got = {r.node for r in hierarchy.cycle_nodes(graph(spark, links)).collect()}
+    assert got == naive_cycles(links) and not any(n.startswith("d") for n in got)
+
+
 def test_cycles_of_nothing(spark):
     assert hierarchy.cycle_nodes(graph(spark, []).limit(0)).count() == 0
     assert hierarchy.cycle_nodes(graph(spark, [("a", "b"), ("a", "b"), ("b", "c")])).count() == 0
