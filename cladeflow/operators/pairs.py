@@ -46,7 +46,7 @@ def drawn_numbers(groups: DataFrame, key: str, limit: int | None, seed: int) ->
     span = lambda low, high, step: F.explode(F.sequence(F.lit(low).cast("long"), high, F.lit(step).cast("long")))
 
     def number(g: DataFrame, upto: Column) -> DataFrame:  # in two steps, as a group's numbers may be too many for one row
-        starts = g.where("total > 0").where(upto >= 0).withColumn("_low", span(0, upto, STRIDE)).withColumn("_high", F.least(F.col("_low") + STRIDE - 1, upto))
+        starts = g.where("total > 0").withColumn("_low", span(0, upto, STRIDE)).withColumn("_high", F.least(F.col("_low") + STRIDE - 1, upto))
         return starts.withColumn("d", F.explode(F.sequence("_low", "_high"))).drop("_low", "_high")
 
     if limit is None:
@@ -59,7 +59,7 @@ def drawn_numbers(groups: DataFrame, key: str, limit: int | None, seed: int) ->
     most_of = ranked.where(F.col("rn") <= limit).select(key, F.col("d").alias("idx"))
     draws = DRAWS
     while True:
-        tried = number(sparse, F.lit(draws * limit - 1).cast("long"))
+        tried = number(sparse, F.lit(draws * max(limit, 1) - 1).cast("long"))
         idx = F.conv(F.substring(hashed(F.col("d")), F.lit(1), F.lit(15)), 16, 10).cast("long") % F.col("total")
         first = tried.select(key, "d", idx.alias("idx")).groupBy(key, "idx").agg(F.min("d").alias("d"))
         some = first.withColumn("rn", F.row_number().over(Window.partitionBy(key).orderBy("d"))).where(F.col("rn") <= limit)
